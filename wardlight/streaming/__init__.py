@@ -1,0 +1 @@
+"""Intentionally empty: the surveyed work is a weekly batch and has no streaming surface."""
