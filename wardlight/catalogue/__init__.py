@@ -3,7 +3,7 @@
 
 def load():
     """All registered queries by name."""
-    from wardlight.catalogue import pipeline  # noqa: F401
+    from wardlight.catalogue import models, pages, pipeline, relational, scalar, tables  # noqa: F401
     from wardlight.catalogue.registry import REGISTRY
 
     return REGISTRY

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardlight.catalogue import oracle
 from wardlight.functions.exact import round6
+from wardlight.ml import train
 from wardlight.plans import features, marts, scores, staging
 from wardlight.sources import adapter
 from wardlight.workspace import stage
@@ -90,6 +91,18 @@ class Inputs:
     def features(self) -> DataFrame:
         return self._features[0]
 
+    @cached_property
+    def risk_model(self):
+        cols = features.numeric_features(self.features)
+        return train.fit_classifier(self.features, cols, "readmission_risk_label", "provider_id",
+                                    maxDepth=3, maxIter=4)[0]
+
+    @cached_property
+    def quality_model(self):
+        cols = features.numeric_features(self.features, ["composite_quality_score"])
+        return train.fit_regressor(self.features, cols, "composite_quality_score", "provider_id",
+                                   maxDepth=3, maxIter=4)[0]
+
     @property
     def medians(self) -> dict[str, float]:
         return self._features[1]

@@ -49,7 +49,8 @@ def build_layer(dfs: Mapping[str, DataFrame], layer: str, root: str) -> dict[str
 
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV files with a header, one per task."""
-    df.write.mode("overwrite").option("header", True).option("quoteAll", False).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 # ---- counts ----------------------------------------------------------------
