@@ -22,7 +22,7 @@ GENERAL = ("provider_id", "hospital_name", "address", "city", "state", "zip_code
            "hospital_ownership", "overall_rating")
 # Header cells as a published file might have them.
 HEADER = {
-    "provider_id": "Facility ID", "hospital_name": "Facility Name", "address": "Address", "city": "City/Town",
+    "provider_id": "Facility ID", "hospital_name": "Facility Name", "address": "Address", "city": "CityTown",
     "state": "State", "zip_code": "ZIP Code", "hospital_type": "Hospital Type",
     "hospital_ownership": "Hospital Ownership", "overall_rating": "Hospital overall rating",
 }
@@ -38,10 +38,10 @@ def _published(i: Inputs) -> str:
 
 
 @query("ingest_csv", f"""
-SELECT {', '.join(GENERAL)}, provider_id AS facility_id, city AS city_town FROM raw_hospitals_general""")
+SELECT {', '.join(GENERAL)}, provider_id AS facility_id, city AS citytown FROM raw_hospitals_general""")
 def _(i: Inputs):
     df = ingest.load_table(i.spark, "hospitals_general", _published(i), LOADED_AT)
-    return df.select(*GENERAL, "facility_id", "city_town")
+    return df.select(*GENERAL, "facility_id", "citytown")
 
 
 @query("ingest_lineage", """
