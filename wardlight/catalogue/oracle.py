@@ -22,11 +22,11 @@ def in_list(values: Sequence[str]) -> str:
 
 
 def settle(x: str) -> str:
-    return f"(floor(({x}) * 1e9 + 0.5::DOUBLE) / 1e9)"
+    return f"(round_even(({x}) * 1e9, 0) / 1e9)"
 
 
 def round6(x: str) -> str:
-    return f"(floor(({x}) * 1e6 + 0.5::DOUBLE) / 1e6)"
+    return f"(round_even(({x}) * 1e6, 0) / 1e6)"
 
 
 def mean(x: str) -> str:

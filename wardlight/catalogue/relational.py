@@ -170,9 +170,8 @@ SELECT l_returnflag, {o.mean('CASE WHEN l_linenumber <= 3 THEN q END')} AS first
 FROM (SELECT *, CAST(l_quantity AS DECIMAL(18,6)) AS q FROM lineitem) GROUP BY l_returnflag""",
        ["first_lines", "later_lines", "all_lines"])
 def _(i: Inputs):
-    rows = i.table("lineitem").withColumn("q", F.col("l_quantity").cast("decimal(18,6)"))
     line = F.col("l_linenumber")
-    return agg.pivot(rows, ["l_returnflag"], "q", {"first_lines": line <= 3, "later_lines": line >= 3, "all_lines": None},
+    return agg.pivot(i.table("lineitem"), ["l_returnflag"], "l_quantity", {"first_lines": line <= 3, "later_lines": line >= 3, "all_lines": None},
                      text="l_linestatus", text_max={"last_status": line == 1})
 
 

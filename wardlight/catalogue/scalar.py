@@ -8,11 +8,13 @@ from wardlight import fixed_values as fv
 from wardlight.catalogue import oracle as o
 from wardlight.catalogue.registry import Inputs, query
 from wardlight.functions import columns as c
+from wardlight.functions.exact import mean
 from wardlight.ml.train import label_index
 from wardlight.operators.joins import with_global
 from wardlight.operators.shape import ensure_columns, select_existing, tag
 from wardlight.plans.features import ownership_bucket, type_bucket
 from wardlight.sources.seeds import weights_table
+from wardlight.workspace import stage
 
 G = "FROM raw_hospitals_general"
 
@@ -26,7 +28,7 @@ def _(i: Inputs):
        f"SELECT provider_id, measure_id, score, CAST({o.num('score', fv.READMISSION_NULLS)} AS DOUBLE) AS value "
        "FROM raw_hospitals_readmissions", ["value"])
 def _(i: Inputs):
-    value = c.parse_numeric("score", fv.READMISSION_NULLS).cast("double")
+    value = c.parse_numeric("score", fv.READMISSION_NULLS)
     return i.raw("hospitals_readmissions").select("provider_id", "measure_id", "score", value.alias("value"))
 
 
@@ -121,11 +123,10 @@ SELECT w.component, w.weight, w.description, m.mean_score, m.mean_score * w.weig
 FROM (VALUES {_WEIGHT_VALUES}) w(component, weight, description) LEFT JOIN ({_PART_MEANS}) m
      ON w.component = m.component""", ["weight", "mean_score", "contribution"])
 def _(i: Inputs):
-    from wardlight.functions.exact import mean_of_doubles
     parts = F.array(*[F.struct(F.lit(name).alias("component"), F.coalesce(F.col(col), F.lit(50.0)).alias("score"))
                       for col, name in fv.QUALITY_COMPONENTS.items()])
     means = i.performance.select(F.explode(parts).alias("p")).groupBy("p.component").agg(
-        mean_of_doubles(F.col("p.score")).alias("mean_score"))
+        mean(F.col("p.score")).alias("mean_score"))
     return weights_table(i.spark).join(means, "component", "left").withColumn(
         "contribution", F.col("mean_score") * F.col("weight"))
 
@@ -137,7 +138,7 @@ _STARS = o.num("score", fv.EXPERIENCE_NULLS)
 SELECT measure_id, score, CAST(CASE WHEN {_STARS} <= 5 THEN {_STARS} * 20 ELSE {_STARS} END AS DOUBLE) AS value,
        count(*) AS n FROM raw_hospitals_patient_experience GROUP BY ALL""", ["value"])
 def _(i: Inputs):
-    value = c.star_to_100(c.parse_numeric("score", fv.EXPERIENCE_NULLS)).cast("double")
+    value = c.star_to_100(c.parse_numeric("score", fv.EXPERIENCE_NULLS))
     rows = i.raw("hospitals_patient_experience").select("measure_id", "score", value.alias("value"))
     return rows.groupBy("measure_id", "score", "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -149,7 +150,6 @@ SELECT provider_id, avg_timely_care_score AS raw_score,
             ELSE 100 - least(100, avg_timely_care_score * 100 / (SELECT max(avg_timely_care_score) FROM stg_timely_care))
        END AS scaled FROM stg_timely_care""", ["raw_score", "scaled"])
 def _(i: Inputs):
-    from wardlight.workspace import stage
     rows = with_global(stage(i.timely.select("provider_id", "avg_timely_care_score"), "timely"),
                        high=F.max("avg_timely_care_score"))
     return rows.select("provider_id", F.col("avg_timely_care_score").alias("raw_score"),
@@ -209,8 +209,7 @@ def _(i: Inputs):
 SELECT zip_code, CAST(dense_rank() OVER (ORDER BY hospital_type) - 1 AS INTEGER) AS type_index
 FROM raw_hospitals_general""")
 def _(i: Inputs):
-    indexed, _labels = label_index(i.raw("hospitals_general"), "hospital_type", "type_index")
-    return indexed.select("zip_code", "type_index")
+    return label_index(i.raw("hospitals_general"), "hospital_type", "type_index").select("zip_code", "type_index")
 
 
 @query("rating_to_100", f"""

@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardlight import fixed_values as fv
-from wardlight.functions.exact import SCORE_TYPE
 
 # A plain decimal number, with optional exponent, or an infinity.
 _NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
@@ -62,17 +61,15 @@ def _is_null_text(c: Column, tokens: Iterable[str]) -> Column:
     return F.lower(F.coalesce(c.cast("string"), F.lit(""))).isin(*tokens)
 
 
-def parse_numeric(c: Column | str, tokens: Sequence[str], as_type: str = SCORE_TYPE) -> Column:
-    """Dirty text to an exact decimal; null tokens and unreadable leftovers become NULL.
+def parse_numeric(c: Column | str, tokens: Sequence[str]) -> Column:
+    """Dirty text to a number; null tokens and unreadable leftovers become NULL.
 
-    A text that is already a plain number skips the regular expression. One
-    holding an exponent does not: stripping turns ``1e-05`` into ``1-05``,
-    which is no number.
+    Stripping turns ``1e-05`` into ``1-05`` and leaves ``10-20`` as it is;
+    neither is a number.
     """
     text = _col(c).cast("string")
-    stripped = F.regexp_replace(text, fv.NOT_NUMERIC_CHARS, "").try_cast(as_type)
-    plain = F.when(~F.contains(F.lower(text), F.lit("e")), text.try_cast(as_type))
-    return F.when(~_is_null_text(text, tokens), F.coalesce(plain, stripped))
+    stripped = F.regexp_replace(text, fv.NOT_NUMERIC_CHARS, "")
+    return F.when(~_is_null_text(text, tokens), stripped.try_cast("double"))
 
 
 def parse_rating(c: Column | str, tokens: Sequence[str] = fv.RATING_NULLS) -> Column:

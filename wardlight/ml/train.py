@@ -18,21 +18,33 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from wardlight import fixed_values as fv
-from wardlight.functions.columns import value_case
+from wardlight.functions.columns import encode
 from wardlight.ml.metrics import MacroF1Evaluator
 from wardlight.ml.split import with_folds
+from wardlight.operators.joins import join_dim
+from wardlight.operators.ranking import positions_of_counts
 
 VECTOR = "_features"
+MAX_CLASSES = 100
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error").transform(df)
 
 
-def label_index(df: DataFrame, c: str, out: str) -> tuple[DataFrame, list[str]]:
-    """Alphabetical position of the label, and the labels (as many as there are classes)."""
-    labels = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
-    return df.withColumn(out, value_case(c, {v: i for i, v in enumerate(labels)}, None).cast("int")), labels
+def label_index(df: DataFrame, c: str, out: str) -> DataFrame:
+    """Alphabetical position of each value of a text column, from 0; NULL stays NULL."""
+    values = df.select(c).dropna().distinct().withColumn("n", F.lit(1).cast("long"))
+    index = positions_of_counts(values, c).select(c, F.col("n_before").cast("int").alias(out))
+    return join_dim(df, index, c)
+
+
+def class_labels(df: DataFrame, c: str) -> list[str]:
+    """The classes of a target in alphabetical order; a model is fitted for each."""
+    found = df.select(c).dropna().distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{c} has more than {MAX_CLASSES} classes")
+    return sorted(r[0] for r in found)
 
 
 class ClassModels(Model):
@@ -165,7 +177,8 @@ def tune(estimator: Estimator, data: DataFrame, grid: Sequence[dict], evaluator:
 def fit_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, grid: Mapping[str, Sequence] | None = None,
                    folds: int = fv.FOLDS, **params) -> tuple[ClassModels, dict, float | None]:
     """Class models for a text label; with a grid, tuned by macro F1 over stratified folds."""
-    indexed, labels = label_index(df, label, "_label")
+    labels = class_labels(df, label)
+    indexed = df.withColumn("_label", encode(label, {v: i for i, v in enumerate(labels)}, None).cast("int"))
     gbt = GBTClassifier(seed=fv.SEED, **params)
     booster = ClassBooster(gbt, labels, list(features), "_label")
     if not grid:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.functions.columns import flag
-from wardlight.functions.exact import mean_of_decimals, mean_of_doubles
+from wardlight.functions.exact import mean
 from wardlight.operators.joins import share_of_total
 from wardlight.operators.ranking import exact_quantiles
 
@@ -23,14 +23,14 @@ def pivot(df: DataFrame, keys: Sequence[str], value: str, means: Mapping[str, Co
     the condition None takes all rows.
     """
     pick = lambda condition, c: F.col(c) if condition is None else F.when(condition, F.col(c))
-    aggs = [mean_of_decimals(pick(cond, value)).alias(name) for name, cond in means.items()]
+    aggs = [mean(pick(cond, value)).alias(name) for name, cond in means.items()]
     aggs += [F.max(pick(cond, text)).alias(name) for name, cond in (text_max or {}).items()]
     return df.groupBy(*keys).agg(*aggs)
 
 
 def rollup_mean(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Unweighted mean of the child rows per parent."""
-    return df.groupBy(key).agg(*[mean_of_doubles(F.col(c)).alias(c) for c in cols])
+    return df.groupBy(key).agg(*[mean(F.col(c)).alias(c) for c in cols])
 
 
 # ---- regional summary ------------------------------------------------------
@@ -49,11 +49,11 @@ def regional_summary(df: DataFrame) -> DataFrame:
     label = F.col("readmission_risk_label")
     return df.groupBy("state").agg(
         F.count(F.lit(1)).alias("hospital_count"),
-        mean_of_doubles(F.col("composite_quality_score")).alias("avg_quality_score"),
-        mean_of_doubles(F.col("readmission_risk_score")).alias("avg_readmission_risk"),
+        mean(F.col("composite_quality_score")).alias("avg_quality_score"),
+        mean(F.col("readmission_risk_score")).alias("avg_readmission_risk"),
         percent_of(label == "High").alias("pct_high_risk"),
         percent_of(label == "Low").alias("pct_low_risk"),
-        mean_of_doubles(F.col("community_health_burden_score")).alias("avg_community_burden"),
+        mean(F.col("community_health_burden_score")).alias("avg_community_burden"),
         top_name("hospital_name", "composite_quality_score", "provider_id").alias("top_performing_hospital"),
         top_name("hospital_name", "readmission_risk_score", "provider_id").alias("most_at_risk_hospital"),
     )
@@ -65,9 +65,9 @@ def kpis(df: DataFrame) -> DataFrame:
     """One row: facilities, three means, percent labelled High."""
     return df.agg(
         F.count(F.lit(1)).alias("hospitals"),
-        mean_of_doubles(F.col("composite_quality_score")).alias("avg_quality"),
-        mean_of_doubles(F.col("readmission_risk_score")).alias("avg_risk"),
-        mean_of_doubles(F.col("overall_patient_experience_score")).alias("avg_patient_experience"),
+        mean(F.col("composite_quality_score")).alias("avg_quality"),
+        mean(F.col("readmission_risk_score")).alias("avg_risk"),
+        mean(F.col("overall_patient_experience_score")).alias("avg_patient_experience"),
         F.try_divide(F.count_if(F.col("readmission_risk_label") == "High") * F.lit(100.0),
                      F.count(F.lit(1))).alias("high_risk_pct"),
     )
@@ -77,8 +77,8 @@ def performance_kpis(df: DataFrame) -> DataFrame:
     """One row: facilities, two means (NULL when nothing is known), number labelled High."""
     return df.agg(
         F.count(F.lit(1)).alias("hospitals"),
-        mean_of_doubles(F.col("composite_quality_score")).alias("avg_quality"),
-        mean_of_doubles(F.col("readmission_risk_score")).alias("avg_risk"),
+        mean(F.col("composite_quality_score")).alias("avg_quality"),
+        mean(F.col("readmission_risk_score")).alias("avg_risk"),
         F.count_if(F.lower(F.coalesce(F.col("readmission_risk_label"), F.lit(""))) == "high")
         .alias("high_risk_hospitals"),
     )
@@ -98,27 +98,27 @@ def mix_by(df: DataFrame, c: str, n: int = 15, id_col: str = "provider_id",
     """Largest groups (NULL is a group) with counts of known ids and two means."""
     return df.groupBy(c).agg(
         F.count(id_col).alias("hospitals"),
-        mean_of_doubles(F.col(quality)).alias("avg_quality"),
-        mean_of_doubles(F.col(risk)).alias("avg_risk"),
+        mean(F.col(quality)).alias("avg_quality"),
+        mean(F.col(risk)).alias("avg_risk"),
     ).orderBy(F.desc("hospitals"), F.col(c).asc_nulls_last()).limit(n)
 
 
 def by_state(df: DataFrame, key: str = "state", score: str = "readmission_risk_score",
              id_col: str = "provider_id") -> DataFrame:
     return df.dropna(subset=[key]).groupBy(key).agg(
-        mean_of_doubles(F.col(score)).alias(f"avg_{score}"), F.count(id_col).alias("hospital_count"))
+        mean(F.col(score)).alias(f"avg_{score}"), F.count(id_col).alias("hospital_count"))
 
 
 def rank_groups(df: DataFrame, key: str, c: str, n: int = 25) -> DataFrame:
     """Groups with the highest mean, NULL groups dropped."""
-    means = df.dropna(subset=[key]).groupBy(key).agg(mean_of_doubles(F.col(c)).alias(c))
+    means = df.dropna(subset=[key]).groupBy(key).agg(mean(F.col(c)).alias(c))
     return means.orderBy(F.col(c).desc_nulls_last(), key).limit(n)
 
 
 def avg_by(df: DataFrame, key: str, c: str, out: str, n: int | None = None,
            count_as: str | None = None) -> DataFrame:
     """Mean per group, highest first (NULL is a group), optionally with counts and only the first n."""
-    aggs = [mean_of_doubles(F.col(c)).alias(out)]
+    aggs = [mean(F.col(c)).alias(out)]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
     ordered = df.groupBy(key).agg(*aggs).orderBy(F.col(out).desc_nulls_last(), F.col(key).asc_nulls_last())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.functions.columns import safe_div
-from wardlight.functions.exact import mean_of_doubles
+from wardlight.functions.exact import mean
 from wardlight.workspace import stage
 
 
@@ -53,7 +53,7 @@ def share_of_total(df: DataFrame, c: str) -> DataFrame:
 
 def group_mean(df: DataFrame, key: str, c: str, out: str) -> DataFrame:
     """Mean of `c` in the row's group; rows without a group get NULL."""
-    means = df.where(F.col(key).isNotNull()).groupBy(key).agg(mean_of_doubles(F.col(c)).alias(out))
+    means = df.where(F.col(key).isNotNull()).groupBy(key).agg(mean(F.col(c)).alias(out))
     return join_dim(df, means, key)
 
 

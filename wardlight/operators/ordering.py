@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.functions.columns import clean_key, rating_to_100
-from wardlight.functions.exact import mean_of_doubles
+from wardlight.functions.exact import mean
 from wardlight.operators.joins import with_global
 
 LEADER_COLUMNS = ("hospital_name", "city", "state", "composite_quality_score", "readmission_risk_label", "quality_tier")
@@ -86,8 +86,8 @@ def snapshot(raw: DataFrame, year: int) -> DataFrame:
 def current_year(mart: DataFrame, year: int) -> DataFrame:
     """This year's scores with the means over all facilities."""
     rows = with_global(
-        mart, national_avg_quality_score=mean_of_doubles(F.col("composite_quality_score")),
-        national_avg_readmission_risk_score=mean_of_doubles(F.col("readmission_risk_score")))
+        mart, national_avg_quality_score=mean(F.col("composite_quality_score")),
+        national_avg_readmission_risk_score=mean(F.col("readmission_risk_score")))
     return rows.select("provider_id", "hospital_name", F.lit(year).alias("year"),
                        F.col("composite_quality_score").alias("quality_score"), "readmission_risk_score",
                        "national_avg_quality_score", "national_avg_readmission_risk_score")
@@ -96,14 +96,14 @@ def current_year(mart: DataFrame, year: int) -> DataFrame:
 def trend(mart: DataFrame, history: Mapping[int, DataFrame], year: int, provider_id: str | None = None) -> DataFrame:
     """Past years and the current one, one row per facility and year.
 
-    For one facility the condition is pushed into every branch, while the
-    national means still come from all rows.
+    For one facility, ordered by year, the condition is pushed into every
+    branch, while the national means still come from all rows.
     """
     parts = [snapshot(raw, y) for y, raw in sorted(history.items())] + [current_year(mart, year)]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
-    if provider_id is not None:
-        rows = rows.where(F.col("provider_id") == provider_id)
-    return rows.orderBy("provider_id", "year") if provider_id is None else rows.orderBy("year")
+    if provider_id is None:
+        return rows
+    return rows.where(F.col("provider_id") == provider_id).orderBy("year")
 
 
 def improvement(trends: DataFrame, first: int, last: int, n: int = 10) -> DataFrame:
