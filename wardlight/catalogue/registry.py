@@ -14,7 +14,7 @@ from wardlight.functions.exact import round6
 from wardlight.ml import train
 from wardlight.plans import features, marts, scores, staging
 from wardlight.sources import adapter
-from wardlight.workspace import stage
+from wardlight.workspace import in_parallel, stage
 
 
 class Inputs:
@@ -64,7 +64,8 @@ class Inputs:
         return scores.hospital_scores(self.hospitals, self.readmissions, self.experience, self.timely)
 
     def build_community(self) -> DataFrame:
-        return scores.community_risk(self.build_scores(), self.counties)
+        scored, states = in_parallel(self.spark, self.build_scores, lambda: scores.state_health(self.counties))
+        return scores.community_risk(scored, states)
 
     def build_performance(self) -> DataFrame:
         return marts.hospital_performance(self.build_community())

@@ -20,7 +20,9 @@ def pivot(df: DataFrame, keys: Sequence[str], value: str, means: Mapping[str, Co
     """One row per key with conditional means (and conditional maxima of a text column).
 
     Conditions may overlap: a row feeds every column whose condition holds, and
-    the condition None takes all rows.
+    the condition None takes all rows. Each task merges its own rows of a key
+    before the shuffle. A maximum of text makes Spark sort for that instead of
+    hashing; measured against hashing per (key, text) first, the sort was faster.
     """
     pick = lambda condition, c: F.col(c) if condition is None else F.when(condition, F.col(c))
     aggs = [mean(pick(cond, value)).alias(name) for name, cond in means.items()]

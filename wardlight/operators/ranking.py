@@ -140,8 +140,14 @@ def _ranked(df: DataFrame, value: str, key: str, by: Sequence[str], ascending: b
 
 def percent_rank(df: DataFrame, value: str, key: str, out: str, by: Sequence[str] = ()) -> DataFrame:
     """``percent_rank() over ([partition by] order by value nulls last)``."""
+    return attach_percent_rank(df, value_positions(df, value, by), value, key, out, by)
+
+
+def attach_percent_rank(df: DataFrame, positions: DataFrame, value: str, key: str, out: str,
+                        by: Sequence[str] = ()) -> DataFrame:
     share = F.col("n_before").cast("double") / F.nullif((F.col("group_n") - 1).cast("double"), F.lit(0.0))
-    return _ranked(df, value, key, by, True, False, out, F.coalesce(share, F.lit(0.0)))
+    placed = attach_positions(df, positions, value, key, by)
+    return placed.withColumn(out, F.coalesce(share, F.lit(0.0))).drop("n", "n_before", "group_n")
 
 
 def rank_in(df: DataFrame, by: Sequence[str], value: str, key: str, out: str,

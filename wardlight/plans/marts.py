@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from wardlight import fixed_values as fv
-from wardlight.functions import columns as c
+from wardlight.functions import columns
 from wardlight.operators import ranking
 from wardlight.operators.aggregates import regional_summary
+from wardlight.workspace import in_parallel
 
 RISK_COLUMNS = (
     "provider_id", "hospital_name", "city", "state", "hospital_type", "hospital_ownership",
@@ -18,13 +19,17 @@ READMISSION_COLUMNS = (*fv.READMISSION_MEASURES, "avg_readmission_score", *fv.RE
 
 def hospital_performance(contextual: DataFrame) -> DataFrame:
     """Adds the global percent ranks and the labels cut from them."""
-    ranked = ranking.percent_rank(contextual, "readmission_risk_score", "provider_id", "readmission_pct_rank")
-    ranked = ranking.percent_rank(ranked, "composite_quality_score", "provider_id", "quality_pct_rank")
+    ranks = {"readmission_risk_score": "readmission_pct_rank", "composite_quality_score": "quality_pct_rank"}
+    positions = in_parallel(contextual.sparkSession, *[
+        lambda c=c: ranking.value_positions(contextual, c) for c in ranks])
+    ranked = contextual
+    for (c, out), placed in zip(ranks.items(), positions):
+        ranked = ranking.attach_percent_rank(ranked, placed, c, "provider_id", out)
     return (ranked
             .withColumn("readmission_risk_label",
-                        c.bucket_label("readmission_pct_rank", fv.RISK_LABEL_RULES, fv.RISK_LABEL_DEFAULT))
+                        columns.bucket_label("readmission_pct_rank", fv.RISK_LABEL_RULES, fv.RISK_LABEL_DEFAULT))
             .withColumn("quality_tier",
-                        c.bucket_label("quality_pct_rank", fv.QUALITY_TIER_RULES, fv.QUALITY_TIER_DEFAULT))
+                        columns.bucket_label("quality_pct_rank", fv.QUALITY_TIER_RULES, fv.QUALITY_TIER_DEFAULT))
             .select(*contextual.columns, "readmission_pct_rank", "quality_pct_rank",
                     "readmission_risk_label", "quality_tier"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from wardlight.plans import marts, scores, staging
 from wardlight.sources.layers import build_layer
+from wardlight.workspace import in_parallel
 
 
 def staging_layer(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -21,10 +22,13 @@ def staging_layer(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def intermediate_layer(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    scored = scores.hospital_scores(stg["stg_hospitals"], stg["stg_readmissions"],
-                                    stg["stg_patient_experience"], stg["stg_timely_care"])
-    return {"int_hospital_scores": scored,
-            "int_community_risk": scores.community_risk(scored, stg["stg_community_health"])}
+    """Scores and community context; facility measures and state means are built side by side."""
+    scored, states = in_parallel(
+        stg["stg_hospitals"].sparkSession,
+        lambda: scores.hospital_scores(stg["stg_hospitals"], stg["stg_readmissions"],
+                                       stg["stg_patient_experience"], stg["stg_timely_care"]),
+        lambda: scores.state_health(stg["stg_community_health"]))
+    return {"int_hospital_scores": scored, "int_community_risk": scores.community_risk(scored, states)}
 
 
 def build_marts(raw: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:

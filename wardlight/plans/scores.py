@@ -12,7 +12,7 @@ from wardlight.functions import columns as c
 from wardlight.functions.exact import settle
 from wardlight.operators import ranking
 from wardlight.operators.aggregates import rollup_mean
-from wardlight.operators.joins import join_dim, left_join_chain, with_global
+from wardlight.operators.joins import left_join_chain, with_global
 from wardlight.sources.seeds import component_weights
 from wardlight.workspace import stage
 
@@ -57,14 +57,20 @@ def score(measures: DataFrame, weights: Mapping[str, float] | None = None) -> Da
             .drop("_readm_low", "_readm_high", "_timely_high"))
 
 
-def community_risk(scores: DataFrame, counties: DataFrame) -> DataFrame:
+def state_health(counties: DataFrame) -> DataFrame:
+    """Unweighted means of the counties of each state, stored: one row per state."""
+    return stage(rollup_mean(counties, "state", COMMUNITY_COLUMNS), "states")
+
+
+def community_risk(scores: DataFrame, states: DataFrame) -> DataFrame:
     """Adds the state's community measures, the burden tertile and its label.
 
     Facilities of a state without community data have no burden; NULLs sort
     last, so they land in the third tertile and are labelled "High Burden".
+    `states` is stored, so Spark broadcasts it if it is small and otherwise
+    merges, splitting a frequent state.
     """
-    states = rollup_mean(counties, "state", COMMUNITY_COLUMNS)
-    joined = join_dim(scores, states, "state").select(*scores.columns, *COMMUNITY_COLUMNS)
+    joined = scores.join(states, "state", "left").select(*scores.columns, *COMMUNITY_COLUMNS)
     tiled = ranking.ntile(joined, 3, "community_health_burden_score", "provider_id", "burden_tertile")
     label = c.value_case("burden_tertile", fv.BURDEN_LABELS, fv.BURDEN_DEFAULT)
     return tiled.withColumn("risk_context_label", label)

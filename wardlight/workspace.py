@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -44,6 +47,12 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(spark: SparkSession, *jobs: Callable) -> list:
+    """Runs independent Spark jobs from their own threads, so one fills the gaps of another."""
+    with ThreadPool(len(jobs)) as pool:
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
+
+
 def discard_stages(spark: SparkSession) -> None:
     """Delete everything this application staged (call when its results are stored)."""
     folder = f"{workspace_root(spark)}/wardlight/{spark.sparkContext.applicationId}"
