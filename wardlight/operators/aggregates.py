@@ -177,7 +177,7 @@ def histogram(df: DataFrame, c: str, bins: int, by: str | None = None) -> DataFr
     edges = known.agg(F.min(c).cast("double").alias("_lo"), F.max(c).cast("double").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     place = F.floor(F.try_divide(F.col(c).cast("double") - F.col("_lo"), width)).cast("int")
-    bin_ = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0))
+    bin_ = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1))
     keys = [F.col(by)] if by else []
     return (known.crossJoin(F.broadcast(edges))
             .groupBy(*keys, bin_.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
