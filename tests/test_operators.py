@@ -65,3 +65,11 @@ def test_trend_of_one_facility(spark):
         (2021, 40.0, None), (2022, 40.0, None), (2023, 40.0, 50.0)]
     gains = ordering.improvement(ordering.trend(mart, {2021: past}, 2023), 2021, 2023).collect()
     assert [(r.provider_id, r.improvement) for r in gains] == [("1", 0.0)]
+
+
+def test_approximate_quantiles(spark):
+    df = spark.range(10_001).select(F.col("id").cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    got = agg.box_stats(df, "x", accuracy=10_000).first()
+    assert [got["min"], got["max"]] == [0.0, 10_000.0] and abs(got["median"] - 5000) <= 2 and abs(got["q1"] - 2500) <= 2
+    assert {r.column_name: abs(r.median - 5000) <= 2 or r.median for r in agg.medians(df, ["x", "y"], 10_000).collect()} == {
+        "x": True, "y": 0.0}

@@ -185,17 +185,29 @@ def histogram(df: DataFrame, c: str, bins: int, by: str | None = None) -> DataFr
                     (F.col("_lo") + (F.col("bin") + 1) * width).alias("high"), "n"))
 
 
-def box_stats(df: DataFrame, c: str) -> DataFrame:
-    """One row: min, q1, median, q3, max, exact at any size."""
-    q = exact_quantiles(df, [c], [0.0, 0.25, 0.5, 0.75, 1.0])
+def _quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float],
+               accuracy: int | None) -> DataFrame:
+    """(column_name, probability, value), exact unless an accuracy is given."""
+    if accuracy is None:
+        return exact_quantiles(df, cols, probabilities)
+    wanted = [float(p) for p in probabilities]
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), wanted, accuracy).alias(c) for c in cols])
+    values = _unpivot(row, cols, "column_name", "found").where(F.col("found").isNotNull())
+    return values.select("column_name", F.explode(F.arrays_zip(
+        F.lit(wanted).alias("probability"), F.col("found").alias("value"))).alias("p")).select("column_name", "p.*")
+
+
+def box_stats(df: DataFrame, c: str, accuracy: int | None = None) -> DataFrame:
+    """One row: min, q1, median, q3, max; exact at any size, or one approximate pass."""
+    q = _quantiles(df, [c], [0.0, 0.25, 0.5, 0.75, 1.0], accuracy)
     at = lambda p: F.max(F.when(F.col("probability") == F.lit(p), F.col("value")))
     return q.agg(at(0.0).alias("min"), at(0.25).alias("q1"), at(0.5).alias("median"),
                  at(0.75).alias("q3"), at(1.0).alias("max"))
 
 
-def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def medians(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """(column_name, median); a column without values gets 0."""
-    found = exact_quantiles(df, cols, [0.5]).select("column_name", F.col("value").alias("median"))
+    found = _quantiles(df, cols, [0.5], accuracy).select("column_name", F.col("value").alias("median"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
     return names.join(F.broadcast(found), "column_name", "left").select(
         "column_name", F.coalesce("median", F.lit(0.0)).alias("median"))
