@@ -87,16 +87,31 @@ def test_all_null(spark):
     assert ranking.exact_quantiles(df, ["x"], [0.5]).count() == 0
 
 
-def test_exact_quantiles(spark, rows):
+@pytest.mark.parametrize("way", ["bracket", "all values", "missed bracket"])
+def test_exact_quantiles(spark, rows, monkeypatch, way):
+    if way == "missed bracket":
+        monkeypatch.setattr(ranking, "_bracketed", lambda df, cols, ps: {(c, p): None for c in cols for p in ps})
+    quantiles = ranking.counted_quantiles if way == "all values" else ranking.exact_quantiles
     pdf = rows.toPandas()
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = {(r["column_name"], r["probability"]): r["value"]
-           for r in ranking.exact_quantiles(rows.withColumn("y", -F.col("x") * 3), ["x", "y"], probs).collect()}
+           for r in quantiles(rows.withColumn("y", -F.col("x") * 3), ["x", "y"], probs).collect()}
+    assert len(got) == 12
     for p in probs:
         assert got["x", p] == pytest.approx(pdf["x"].quantile(p))
         assert got["y", p] == pytest.approx((-3 * pdf["x"]).quantile(p))
 
 
+def test_brackets_hold_few_values(spark, monkeypatch):
+    """Distinct values: only those near the quantile are ranked, and none is missed."""
+    seen = []
+    whole = ranking.value_positions
+    monkeypatch.setattr(ranking, "value_positions", lambda df, *a, **k: seen.append(df.count()) or whole(df, *a, **k))
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_000).cast("double").alias("x"))
+    assert ranking.exact_quantiles(df, ["x"], [0.5]).first().value == 99_999.5
+    assert seen[0] < 2000
+
+
 def plan_of(df) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
 

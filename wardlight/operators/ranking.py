@@ -19,6 +19,7 @@ NULL order keys sort last, as in the reference SQL dialect.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ BROADCAST_ROWS = 200_000
 # Values holding more than 1/HOT_SHARE of all rows are joined by broadcast;
 # there can be at most HOT_SHARE of them.
 HOT_SHARE = 1000
+# Quantile brackets reach two of these parts to either side.
+BRACKET_ACCURACY = 2000
 
 
 def _order(c: str, ascending: bool) -> Column:
@@ -215,9 +218,58 @@ def ntile(df: DataFrame, tiles: int, value: str, key: str, out: str) -> DataFram
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """(column_name, probability, value): linear-interpolation quantiles of each column.
 
-    All columns share one pass: (column, value) pairs are counted before the
-    shuffle, and one frequent value or one long column cannot fill a task.
-    Columns without any value are missing from the result.
+    A first pass brackets every quantile with approximate ones a little below
+    and above it; a second counts the rows below each bracket and ranks only the
+    values inside, a small share of the column. Should a bracket have missed its
+    quantile, that column is ranked whole. `df` is read three times, so pass a
+    stored table. Columns without any value are missing from the result.
+    """
+    probabilities = [float(p) for p in probabilities]
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    found = _bracketed(numbers, cols, probabilities)
+    missed = sorted({c for (c, _), value in found.items() if value is None})
+    rows = [(c, p, value) for (c, p), value in found.items() if c not in missed]
+    out = df.sparkSession.createDataFrame(rows, "column_name string, probability double, value double")
+    return out.unionByName(counted_quantiles(numbers, missed, probabilities)) if missed else out
+
+
+def _bracketed(numbers: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> dict:
+    """(column, probability) -> value, None where the bracket missed; bounded by columns times probabilities."""
+    margin = 2.0 / BRACKET_ACCURACY
+    ends = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-margin, margin)]
+    row = numbers.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                      *[F.percentile_approx(c, ends, BRACKET_ACCURACY).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    brackets = []
+    for i, c in enumerate(cols):
+        for j, p in enumerate(probabilities if row[f"n{i}"] else ()):
+            low = float("-inf") if ends[2 * j] == 0.0 else row[f"q{i}"][2 * j]
+            high = float("inf") if ends[2 * j + 1] == 1.0 else row[f"q{i}"][2 * j + 1]
+            brackets.append((c, p, low, high, (row[f"n{i}"] - 1) * p))
+    if not brackets:
+        return {}
+    below = numbers.agg(*[F.count_if(F.col(c) < F.lit(low)) for c, _, low, _, _ in brackets]).first()
+    inside = [F.when(F.col(c).between(low, high), F.struct(F.lit(g).alias("g"), F.col(c).alias("v")))
+              for g, (c, _, low, high, _) in enumerate(brackets)]
+    values = numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("x")).select("x.g", "x.v")
+    # Place of the two neighbours of each quantile among the values of its bracket.
+    neighbours = [[int(rounded(at)) - below[g] for g, (*_, at) in enumerate(brackets)] for rounded in (floor, ceil)]
+    covers = [(F.col("n_before") <= at) & (at < F.col("n_before") + F.col("n"))
+              for at in (F.lit(places).cast("array<bigint>")[F.col("g")] for places in neighbours)]
+    hits = value_positions(values, "v", ["g"]).where(covers[0] | covers[1]).groupBy("g").agg(
+        *[F.max(F.when(cover, F.col("v"))).alias(side) for cover, side in zip(covers, ("low", "high"))])
+    pairs = {r["g"]: (r["low"], r["high"]) for r in hits.collect()}
+    out = {}
+    for g, (c, p, _, _, at) in enumerate(brackets):
+        low, high = pairs.get(g, (None, None))
+        out[c, p] = None if low is None or high is None else low + (high - low) * (at - floor(at))
+    return out
+
+
+def counted_quantiles(df: DataFrame, cols: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """As `exact_quantiles`, ranking every value of the columns, all columns in one pass.
+
+    (column, value) pairs are counted before the shuffle, and one frequent value
+    or one long column cannot fill a task.
     """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
