@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from wardlight import fixed_values as fv
 from wardlight.operators import aggregates as agg
 from wardlight.operators import filters, joins, ordering
 
@@ -40,7 +41,7 @@ def test_group_mean_without_group(spark):
 
 
 def test_limits_are_checked(spark):
-    df = spark.createDataFrame([], ", ".join(f"{c} string" for c in filters.LIST_COLUMNS))
+    df = spark.createDataFrame([], ", ".join(f"{c} string" for c in fv.LIST_COLUMNS))
     with pytest.raises(ValueError):
         filters.find(df, limit=1001)
     with pytest.raises(ValueError):

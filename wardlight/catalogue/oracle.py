@@ -169,8 +169,9 @@ SELECT *, {settle(weighted(fv.QUALITY_COMPONENTS, 50.0))} AS composite_quality_s
     "tiled": "SELECT h.*, c.* EXCLUDE (state), CAST(ntile(3) OVER (ORDER BY c.community_health_burden_score NULLS LAST, "
              "h.provider_id) AS INTEGER) AS burden_tertile FROM int_hospital_scores h LEFT JOIN state_health c "
              "ON h.state = c.state",
-    "int_community_risk": "SELECT *, CASE burden_tertile WHEN 3 THEN 'High Burden' WHEN 2 THEN 'Moderate Burden' "
-                          "ELSE 'Low Burden' END AS risk_context_label FROM tiled",
+    "int_community_risk": "SELECT *, (CASE burden_tertile "
+                          + " ".join(f"WHEN {k} THEN {q(v)}" for k, v in fv.BURDEN_LABELS.items())
+                          + f" ELSE {q(fv.BURDEN_DEFAULT)} END) AS risk_context_label FROM tiled",
     "perf_ranked": "SELECT *, percent_rank() OVER (ORDER BY readmission_risk_score NULLS LAST) AS readmission_pct_rank, "
                    "percent_rank() OVER (ORDER BY composite_quality_score NULLS LAST) AS quality_pct_rank "
                    "FROM int_community_risk",
@@ -179,8 +180,7 @@ SELECT *, {labels('readmission_pct_rank', fv.RISK_LABEL_RULES, fv.RISK_LABEL_DEF
        {labels('quality_pct_rank', fv.QUALITY_TIER_RULES, fv.QUALITY_TIER_DEFAULT)} AS quality_tier
 FROM perf_ranked""",
     "mart_readmission_risk": f"""
-SELECT provider_id, hospital_name, city, state, hospital_type, hospital_ownership, readmission_risk_score,
-       readmission_performance_score, {', '.join(READM_COLS)},
+SELECT {', '.join((*fv.RISK_MART_COLUMNS, *READM_COLS))},
        rank() OVER (PARTITION BY state ORDER BY readmission_risk_score DESC NULLS LAST) AS state_readmission_rank
 FROM int_hospital_scores""",
     "mart_regional_summary": f"""
@@ -189,12 +189,9 @@ SELECT state, count(*) AS hospital_count, {dmean('composite_quality_score')} AS
        CAST(count(*) FILTER (WHERE readmission_risk_label = 'High') AS DOUBLE) / count(*) * 100 AS pct_high_risk,
        CAST(count(*) FILTER (WHERE readmission_risk_label = 'Low') AS DOUBLE) / count(*) * 100 AS pct_low_risk,
        {dmean('community_health_burden_score')} AS avg_community_burden,
-       max(CASE WHEN best_place = 1 THEN hospital_name END) AS top_performing_hospital,
-       max(CASE WHEN risk_place = 1 THEN hospital_name END) AS most_at_risk_hospital
-FROM (SELECT *, row_number() OVER (PARTITION BY state ORDER BY composite_quality_score DESC NULLS LAST, provider_id)
-             AS best_place,
-             row_number() OVER (PARTITION BY state ORDER BY readmission_risk_score DESC NULLS LAST, provider_id)
-             AS risk_place FROM mart_hospital_performance) GROUP BY state""",
+       first(hospital_name ORDER BY composite_quality_score DESC NULLS LAST, provider_id) AS top_performing_hospital,
+       first(hospital_name ORDER BY readmission_risk_score DESC NULLS LAST, provider_id) AS most_at_risk_hospital
+FROM mart_hospital_performance GROUP BY state""",
 }
 
 

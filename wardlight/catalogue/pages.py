@@ -55,7 +55,7 @@ def _(i: Inputs):
 
 
 @query("overview_leaderboard", f"""
-SELECT {', '.join(pages.LEADER_COLUMNS)} FROM {M} WHERE {CHOSEN}
+SELECT {', '.join(fv.OVERVIEW_COLUMNS)} FROM {M} WHERE {CHOSEN}
   AND (regexp_matches(lower(coalesce(hospital_name, '')), 'mary|city_1') OR regexp_matches(lower(coalesce(city, '')), 'mary|city_1')
        OR regexp_matches(lower(coalesce(state, '')), 'mary|city_1')) {BEST} LIMIT 300""",
        [QUALITY, RISK, "overall_patient_experience_score"])
@@ -66,7 +66,7 @@ def _(i: Inputs):
 # ---- search, map, scorecard ------------------------------------------------
 
 @query("hospital_search", f"""
-SELECT {', '.join(pages.SEARCH_RESULT)} FROM {M} WHERE hospital_name ILIKE '%mary%' OR city ILIKE '%mary%'
+SELECT {', '.join(fv.SEARCH_RESULT)} FROM {M} WHERE hospital_name ILIKE '%mary%' OR city ILIKE '%mary%'
    OR state ILIKE '%mary%' {BEST} LIMIT 500""", [QUALITY, "community_health_burden_score"])
 def _(i: Inputs):
     return pages.hospital_search(i.performance, "mary")
@@ -92,7 +92,7 @@ def _(i: Inputs):
 
 
 @query("quality_scorecard", f"""
-SELECT {', '.join(pages.SCORECARD_COLUMNS)}, CASE WHEN {QUALITY} >= 70 THEN 'green' WHEN {QUALITY} >= 50 THEN 'amber'
+SELECT {', '.join(fv.SCORECARD_COLUMNS)}, CASE WHEN {QUALITY} >= 70 THEN 'green' WHEN {QUALITY} >= 50 THEN 'amber'
        ELSE 'red' END AS quality_band FROM {M} WHERE {QUALITY} BETWEEN 40 AND 75""",
        [QUALITY, RISK, "overall_patient_experience_score", "community_health_burden_score"])
 def _(i: Inputs):
@@ -216,10 +216,10 @@ def _(i: Inputs):
 
 @query("question_low_risk_high_experience", f"""
 SELECT provider_id, hospital_name, city, state, {RISK}, overall_patient_experience_score FROM {M}
-WHERE state = '{STATE}' AND readmission_risk_label = 'Low' AND overall_patient_experience_score >= 45
+WHERE state = 'NATION_11' AND readmission_risk_label = 'Low' AND overall_patient_experience_score >= 45
 ORDER BY overall_patient_experience_score DESC, provider_id LIMIT 50""", [RISK, "overall_patient_experience_score"])
 def _(i: Inputs):
-    return pages.low_risk_high_experience(i.performance, STATE, experience_min=45.0)
+    return pages.low_risk_high_experience(i.performance, "NATION_11", experience_min=45.0)
 
 
 @query("question_risk_factors", " UNION ALL ".join(

@@ -15,7 +15,7 @@ from wardlight.plans import marts, scores, staging
 from wardlight.workspace import stage
 
 M = "mart_hospital_performance"
-FIND = ", ".join(filters.LIST_COLUMNS)
+FIND = ", ".join(fv.LIST_COLUMNS)
 FIND_D = ("composite_quality_score", "readmission_risk_score", "overall_patient_experience_score",
           "community_health_burden_score")
 BEST = "ORDER BY composite_quality_score DESC NULLS LAST, provider_id"
@@ -105,7 +105,7 @@ def _(i: Inputs):
 WHERE provider_id IN ('000000000005', '000000000017', '000000000101')""", FIND_D)
 def _(i: Inputs):
     return filters.compare(i.performance, "provider_id", ["000000000005", "000000000017", "000000000101"]).select(
-        *filters.LIST_COLUMNS)
+        *fv.LIST_COLUMNS)
 
 
 @query("high_burden_high_quality", f"""
@@ -419,8 +419,8 @@ def _(i: Inputs):
     return ordering.sort_desc(i.table("supplier").select("s_suppkey", "s_acctbal"), "s_acctbal", "s_suppkey")
 
 
-LEADERS = ", ".join(ordering.LEADER_COLUMNS)
-RISKIEST = ", ".join(ordering.RISK_COLUMNS)
+LEADERS = ", ".join(fv.BEST_COLUMNS)
+RISKIEST = ", ".join(fv.RISKIEST_COLUMNS)
 
 
 @query("leaderboard_best", f"SELECT {LEADERS} FROM {M} WHERE composite_quality_score IS NOT NULL {BEST} LIMIT 15",

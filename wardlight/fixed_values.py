@@ -236,3 +236,37 @@ REGRESSOR_GRID = {
 
 # --- fixed values: sentence of an explanation -------------------------------
 EXPLANATION = ("This hospital was flagged ", " primarily because of ", ".")
+
+# --- fixed values: columns of each result -----------------------------------
+LIST_COLUMNS = (
+    "provider_id", "hospital_name", "city", "state", "hospital_type", "hospital_ownership",
+    "composite_quality_score", "readmission_risk_score", "overall_patient_experience_score",
+    "community_health_burden_score", "readmission_risk_label", "quality_tier",
+)
+RISK_MART_COLUMNS = (
+    "provider_id", "hospital_name", "city", "state", "hospital_type", "hospital_ownership",
+    "readmission_risk_score", "readmission_performance_score",
+)
+BEST_COLUMNS = (
+    "hospital_name", "city", "state", "composite_quality_score", "readmission_risk_label", "quality_tier",
+)
+RISKIEST_COLUMNS = (
+    "hospital_name", "city", "state", "readmission_risk_score", "readmission_risk_label", "composite_quality_score",
+)
+OVERVIEW_COLUMNS = (
+    "hospital_name", "city", "state", "composite_quality_score", "readmission_risk_score",
+    "readmission_risk_label", "overall_patient_experience_score", "quality_tier",
+)
+SCORECARD_COLUMNS = (
+    "hospital_name", "state", "composite_quality_score", "readmission_risk_score",
+    "overall_patient_experience_score", "community_health_burden_score", "readmission_risk_label", "quality_tier",
+)
+SEARCHED_COLUMNS = ("hospital_name", "city", "state")
+SEARCH_RESULT = (
+    "provider_id", "hospital_name", "city", "state", "composite_quality_score", "readmission_risk_label",
+    "quality_tier", "hospital_type", "hospital_ownership", "community_health_burden_score",
+)
+PERFORMANCE_COLUMNS = (
+    "hospital_name", "city", "state", "hospital_type", "composite_quality_score",
+    "readmission_risk_score", "patient_experience_score", "readmission_risk_label", "quality_tier",
+)

@@ -7,12 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LIST_COLUMNS = (
-    "provider_id", "hospital_name", "city", "state", "hospital_type", "hospital_ownership",
-    "composite_quality_score", "readmission_risk_score", "overall_patient_experience_score",
-    "community_health_burden_score", "readmission_risk_label", "quality_tier",
-)
-
+from wardlight import fixed_values as fv
 
 def find(df: DataFrame, state: str | None = None, risk_level: str | None = None,
          quality_min: float | None = None, limit: int = 100) -> DataFrame:
@@ -26,7 +21,7 @@ def find(df: DataFrame, state: str | None = None, risk_level: str | None = None,
     if quality_min is not None:
         df = df.where(F.col("composite_quality_score") >= quality_min)
     best_first = F.col("composite_quality_score").desc_nulls_last()
-    return df.select(*LIST_COLUMNS).orderBy(best_first, "provider_id").limit(limit)
+    return df.select(*fv.LIST_COLUMNS).orderBy(best_first, "provider_id").limit(limit)
 
 
 def find_by_risk(df: DataFrame, risk_level: str = "High", state: str | None = None,

@@ -8,14 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlight import fixed_values as fv
 from wardlight.functions.columns import clean_key, rating_to_100
 from wardlight.functions.exact import mean
 from wardlight.operators.joins import with_global
 
-LEADER_COLUMNS = ("hospital_name", "city", "state", "composite_quality_score", "readmission_risk_label", "quality_tier")
-RISK_COLUMNS = ("hospital_name", "city", "state", "readmission_risk_score", "readmission_risk_label",
-                "composite_quality_score")
-
 
 def top_n(df: DataFrame, c: str, n: int, tie_break: str) -> DataFrame:
     """Highest n rows, NULLs last; each task keeps only its own n."""
@@ -34,7 +31,7 @@ def leaderboards(df: DataFrame, n: int = 15, tie_break: str = "provider_id") ->
     """Best quality and highest risk, rows without the score left out."""
     best = top_n(df.dropna(subset=["composite_quality_score"]), "composite_quality_score", n, tie_break)
     riskiest = top_n(df.dropna(subset=["readmission_risk_score"]), "readmission_risk_score", n, tie_break)
-    return best.select(*LEADER_COLUMNS), riskiest.select(*RISK_COLUMNS)
+    return best.select(*fv.BEST_COLUMNS), riskiest.select(*fv.RISKIEST_COLUMNS)
 
 
 def best_states(regions: DataFrame, n: int = 10) -> DataFrame:

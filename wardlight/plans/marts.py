@@ -10,10 +10,6 @@ from wardlight.operators import ranking
 from wardlight.operators.aggregates import regional_summary
 from wardlight.workspace import in_parallel
 
-RISK_COLUMNS = (
-    "provider_id", "hospital_name", "city", "state", "hospital_type", "hospital_ownership",
-    "readmission_risk_score", "readmission_performance_score",
-)
 READMISSION_COLUMNS = (*fv.READMISSION_MEASURES, "avg_readmission_score", *fv.READMISSION_COMPARISONS)
 
 
@@ -40,10 +36,10 @@ def readmission_risk(scores: DataFrame, readmissions: DataFrame | None = None) -
     The score table already carries the readmission measures of the same key,
     so they are projected from it; pass `readmissions` to join another set.
     """
-    base = scores.select(*RISK_COLUMNS, *READMISSION_COLUMNS)
+    base = scores.select(*fv.RISK_MART_COLUMNS, *READMISSION_COLUMNS)
     if readmissions is not None:
         measures = readmissions.select("provider_id", *READMISSION_COLUMNS)
-        base = scores.select(*RISK_COLUMNS).join(measures, "provider_id", "left")
+        base = scores.select(*fv.RISK_MART_COLUMNS).join(measures, "provider_id", "left")
     return ranking.rank_in(base, ["state"], "readmission_risk_score", "provider_id", "state_readmission_rank")
 
 

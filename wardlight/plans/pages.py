@@ -17,27 +17,13 @@ from wardlight.operators import aggregates as agg
 from wardlight.operators import filters, ordering
 from wardlight.operators.shape import ensure_columns, select_existing
 
-LEADER_COLUMNS = (
-    "hospital_name", "city", "state", "composite_quality_score", "readmission_risk_score",
-    "readmission_risk_label", "overall_patient_experience_score", "quality_tier",
-)
-SCORECARD_COLUMNS = (
-    "hospital_name", "state", "composite_quality_score", "readmission_risk_score",
-    "overall_patient_experience_score", "community_health_burden_score", "readmission_risk_label", "quality_tier",
-)
-SEARCH_COLUMNS = ("hospital_name", "city", "state")
-SEARCH_RESULT = (
-    "provider_id", "hospital_name", "city", "state", "composite_quality_score", "readmission_risk_label",
-    "quality_tier", "hospital_type", "hospital_ownership", "community_health_burden_score",
-)
-
 
 # ---- pages -----------------------------------------------------------------
 
 def national_overview(perf: DataFrame, regions: DataFrame, states: Sequence[str] = (), risks: Sequence[str] = (),
                       types: Sequence[str] = (), tiers: Sequence[str] = (), search: str = "") -> dict[str, DataFrame]:
     chosen = perf.where(filter_in(state=states, readmission_risk_label=risks, hospital_type=types, quality_tier=tiers))
-    found = chosen.where(search_regex(SEARCH_COLUMNS, search)) if search else chosen
+    found = chosen.where(search_regex(fv.SEARCHED_COLUMNS, search)) if search else chosen
     return {
         "kpis": agg.kpis(chosen),
         "histogram": agg.histogram(chosen, "composite_quality_score", fv.OVERVIEW_BINS),
@@ -47,12 +33,12 @@ def national_overview(perf: DataFrame, regions: DataFrame, states: Sequence[str]
         "best_states": ordering.best_states(regions),
         "riskiest_states": ordering.riskiest_states(regions),
         "leaderboard": select_existing(
-            ordering.top_n(found, "composite_quality_score", 300, "provider_id"), LEADER_COLUMNS),
+            ordering.top_n(found, "composite_quality_score", 300, "provider_id"), fv.OVERVIEW_COLUMNS),
     }
 
 
 def hospital_search(perf: DataFrame, term: str = "", limit: int = 500) -> DataFrame:
-    hits = perf.where(search_like(SEARCH_COLUMNS, term)).select(*SEARCH_RESULT)
+    hits = perf.where(search_like(fv.SEARCHED_COLUMNS, term)).select(*fv.SEARCH_RESULT)
     return ordering.top_n(hits, "composite_quality_score", limit, "provider_id")
 
 
@@ -75,7 +61,7 @@ def scorecard(perf: DataFrame, low: float | None = None, high: float | None = No
     if high is not None:
         chosen = chosen.where(quality <= high)
     colour = band("composite_quality_score", fv.QUALITY_BANDS, fv.QUALITY_BAND_DEFAULT)
-    return chosen.select(*SCORECARD_COLUMNS, colour.alias("quality_band"))
+    return chosen.select(*fv.SCORECARD_COLUMNS, colour.alias("quality_band"))
 
 
 def community_page(perf: DataFrame, state: str | None = None) -> dict[str, DataFrame]:
@@ -105,8 +91,7 @@ def performance_page(perf: DataFrame, state: str | None = None) -> dict[str, Dat
         "scatter": table.dropna(subset=both).select(
             "hospital_name", "city", "state", "readmission_risk_label", *both),
         "full": ordering.sort_desc(table, "composite_quality_score", "provider_id").select(
-            "hospital_name", "city", "state", "hospital_type", "composite_quality_score",
-            "readmission_risk_score", "patient_experience_score", "readmission_risk_label", "quality_tier"),
+            *fv.PERFORMANCE_COLUMNS),
     }
 
 
