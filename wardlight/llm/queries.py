@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import url_rules, warc
+from wardlight.llm import decontaminate, quality_rules, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -54,9 +54,26 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM firsts
 """
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item, and the items found."""
+    found = decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document, the base verdict, and the verdict of the learned decision list."""
+    docs = read(spark, folder, "documents")
+    rules = quality_rules.learn_rules(docs, read(spark, folder, "labels"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
+    "op6_decontamination": op6_decontamination,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE_SQL = {

@@ -91,7 +91,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
         "prefix", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "path",
         F.lit(None).cast("string").alias("host"), F.col("stack").alias("opened"))
     sweep = W.partitionBy("prefix", "part").orderBy("path", F.col("host").isNotNull())
-    fitting = (opening.unionByName(asked)
+    fitting = (opening.unionByName(asked).repartition("prefix", "part")  # else the join's dealing by prefix would do
                .withColumn("stack", F.last("opened", ignorenulls=True).over(
                    sweep.rowsBetween(W.unboundedPreceding, W.currentRow)))
                .where("host is not null")
