@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, quality_rules, url_rules, warc
+from wardlight.llm import decontaminate, quality_rules, simhash, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -54,6 +54,12 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM firsts
 """
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document over three-word shingles, and its component of links of at most three bits."""
+    found = simhash.components(read(spark, folder, "documents"), shingle=3)
+    return found.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item, and the items found."""
     found = decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
@@ -72,6 +78,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
+    "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
 }
