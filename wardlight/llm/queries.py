@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, quality_rules, simhash, url_rules, warc
+from wardlight.llm import decontaminate, quality_rules, simhash, tokens, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
 
+def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents are written as wavelet-matrix shards and read back; a row per document."""
+    path = stage_path(spark, "token-shards")
+    tokens.write_shards(read(spark, folder, "documents"), path, public_tokenizers.path(tokens.TOKENIZER))
+    return (tokens.documents(tokens.read_shards(spark, path))
+            .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
+
+
 def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Host, path, deciding rule and verdict of every page's url."""
     pages = read(spark, folder, "pages").select("page_id", "url")
@@ -76,6 +85,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_ids": op2_token_ids,
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
