@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, quality_rules, simhash, tokens, url_rules, warc
+from wardlight.llm import decontaminate, quality_rules, secrets, simhash, tokens, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
 
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, as they stand and in decoded layers."""
+    return secrets.secrets(read(spark, folder, "documents"))
+
+
 def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents are written as wavelet-matrix shards and read back; a row per document."""
     path = stage_path(spark, "token-shards")
@@ -85,6 +90,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op2_token_ids": op2_token_ids,
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
