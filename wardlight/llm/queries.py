@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, quality_rules, secrets, simhash, tokens, url_rules, warc
+from wardlight.llm import decontaminate, html_text, quality_rules, secrets, simhash, tokens, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -89,6 +89,12 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.main_text(read(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_token_ids": op2_token_ids,
@@ -97,6 +103,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_html_text": op8_html_text,
 }
 
 ORACLE_SQL = {
