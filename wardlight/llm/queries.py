@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, html_text, quality_rules, secrets, simhash, tokens, url_rules, warc
+from wardlight.llm import decontaminate, html_text, mixing, quality_rules, secrets, simhash, tokens, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -95,6 +95,42 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+#: Target weights of the registered mixing query and of the pipeline; all other sources have weight 1.
+WEIGHTS = {"src0": 5, "src1": 3, "src2": 2}
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every document in the mix of the sources to their target weights."""
+    docs = read(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(docs, WEIGHTS)
+
+
+OP9_SQL = """
+WITH RECURSIVE sources AS (
+  SELECT source, count(*) AS n, CASE source WHEN 'src0' THEN 5 WHEN 'src1' THEN 3 WHEN 'src2' THEN 2 ELSE 1 END AS w,
+    row_number() OVER (ORDER BY source NULLS FIRST) AS i
+  FROM documents GROUP BY source),
+fixed AS (SELECT list(w ORDER BY i) AS w, list(n ORDER BY i) AS n, sum(w)::BIGINT AS period FROM sources),
+edf AS (
+  SELECT -1::BIGINT AS slot, 0::BIGINT AS i, list_transform(w, lambda x: 0::BIGINT) AS before, list_transform(w, lambda x: 0::BIGINT) AS done FROM fixed
+  UNION ALL
+  SELECT slot + 1, pick, done, list_transform(done, lambda x, j: CASE WHEN j = pick THEN x + 1 ELSE x END)
+  FROM (
+    SELECT e.slot, e.done, list_min(list_transform(generate_series(1, len(f.w)), lambda j:
+      CASE WHEN e.done[j] < f.w[j] AND e.done[j] * f.period < (e.slot + 2) * f.w[j]
+        THEN ((e.done[j] + 1) * f.period + f.w[j] - 1) // f.w[j] * 100000 + j END)) % 100000 AS pick
+    FROM edf e, fixed f WHERE e.slot + 1 < f.period)),
+numbered AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':0'), doc_id) - 1 AS nth
+  FROM documents),
+blocks AS (SELECT n.*, nth // 64 AS block, s.i, s.w FROM numbered n JOIN sources s ON n.source IS NOT DISTINCT FROM s.source)
+SELECT b.doc_id, b.source, b.block, (b.block // b.w) * f.period + e.slot AS slot,
+  list_sum(list_transform(generate_series(1, len(f.w)), lambda j: least(f.n[j], ((b.block // b.w) * f.w[j] + e.before[j]) * 64)))::BIGINT
+    + b.nth % 64 AS position
+FROM blocks b, fixed f, edf e
+WHERE e.slot >= 0 AND e.i = b.i AND e.before[b.i] = b.block % b.w
+"""
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_token_ids": op2_token_ids,
@@ -104,9 +140,11 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_html_text": op8_html_text,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLE_SQL = {
     "op3_url_rules": OP3_SQL,
     "op4_warc": OP4_SQL,
+    "op9_mixing": OP9_SQL,
 }
