@@ -13,7 +13,7 @@ from wardlight.workspace import stage
 
 __all__ = ["read", "stage", "slices", "utf8", "lower_ascii", "word_table", "words", "Prefix", "mix", "spread"]
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, html_text, mixing, quality_rules, secrets, simhash, tokens, url_rules, warc
+from wardlight.llm import decontaminate, html_text, line_dedup, mixing, quality_rules, secrets, simhash, tokens, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -131,6 +131,11 @@ FROM blocks b, fixed f, edf e
 WHERE e.slot >= 0 AND e.i = b.i AND e.before[b.i] = b.block % b.w
 """
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Group of every line of every document, and whether it is removed as a later one."""
+    return line_dedup.line_groups(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_token_ids": op2_token_ids,
@@ -141,6 +146,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_html_text": op8_html_text,
     "op9_mixing": op9_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
