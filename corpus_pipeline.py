@@ -1,12 +1,65 @@
-"""The corpus pipeline: every stage is written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: every stage is written as Parquet and read again as the next one's documents.
+
+A stage takes (spark, docs, sf_dir) and works on all of `docs`; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wardlight.llm import decontaminate, mixing, quality_rules, simhash, tokens
 from wardlight.llm.common import read, stage
+from wardlight.llm.queries import WEIGHTS
+from wardlight.workspace import stage_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the decision list learned from the labelled ones go on."""
+    return quality_rules.keep(docs, quality_rules.learn_rules(docs, read(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, that with the smallest id: shingles of five words, similarity of 0.8 or more."""
+    return simhash.one_of_each(docs, shingle=5, similarity=0.8)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold ten consecutive words of a benchmark item, or a whole shorter item, go."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"), remove="documents")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix: the files, by name, and the rows in each follow the schedule."""
+    return mixing.in_order(docs, WEIGHTS)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards in the order of the mix, written and read back; doc_id, start, n_tokens, ids_crc32.
+
+    The order is that of the files' names and the rows in them; documents that come from no file are taken by id.
+    """
+    try:
+        ordered = docs.withColumn("__place", F.struct("_metadata.file_name", "_metadata.row_index"))
+        order = "__place"
+    except AnalysisException:
+        ordered, order = docs, "doc_id"
+    path = stage_path(spark, "token-shards")
+    tokens.write_shards(ordered, path, public_tokenizers.path(tokens.TOKENIZER), order=order)
+    return (tokens.documents(tokens.read_shards(spark, path))
+            .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
+
 
-STAGES = []
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mix", mix),
+    ("token_ids", token_ids),
+]
+#: Learned rules, connected components and a tokenizer are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
