@@ -29,7 +29,7 @@ SHARD_IDS = 1_000_000
 BLOCK_BITS = 512
 #: Most words whose ids a worker remembers.
 REMEMBERED = 1_000_000
-SHARDS = ("part int, seq int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, bits int, "
+SHARDS = ("part int, seq int, n_before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, bits int, "
           "planes array<binary>, ranks array<binary>, zeros array<bigint>")
 
 
@@ -99,6 +99,16 @@ class Encoder:
         return [np.frombuffer(b"".join(map(of, pieces)), np.uint32) for pieces in split]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's own encoder, whose remembered words serve all its tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def build(ids: np.ndarray, bits: int) -> tuple[list[bytes], list[bytes], list[int]]:
     """Planes (packed, lowest bit of a byte first), ones before every block, and the zeros of every plane."""
     planes, ranks, zeros = [], [], []
@@ -213,55 +223,53 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, order: str = "doc_i
                    .select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        part, seq = TaskContext.get().partitionId(), 0
+        encode = encoder(tokenizer)
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, held, size = [], [], 0
-        width = max(int(len(encoder.ends) - 1).bit_length(), end_id.bit_length())
+        width = max(int(len(encode.ends) - 1).bit_length(), end_id.bit_length())
         for batch in batches:
             ids, row = batch.column(0).to_pylist(), 0
             for data, offsets in slices(batch.column(1), 1 << 20):
                 raw = data.tobytes()
-                for tokens in encoder.encode([raw[i:j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]):
+                for tokens in encode.encode([raw[i:j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]):
                     doc_ids.append(ids[row])
                     held.append(np.append(tokens, np.uint32(end_id)))
                     size += len(held[-1])
                     row += 1
                     if size >= shard_ids:
-                        yield _row(part, seq, doc_ids, held, width)
-                        doc_ids, held, size, seq = [], [], 0, seq + 1
+                        yield _row(part, seq, before, doc_ids, held, width)
+                        doc_ids, held, size, seq, before = [], [], 0, seq + 1, before + size
         if held:
-            yield _row(part, seq, doc_ids, held, width)
+            yield _row(part, seq, before, doc_ids, held, width)
     sorted_docs.mapInArrow(pack, SHARDS).write.option("compression", "uncompressed").parquet(path)
 
 
-def _row(part: int, seq: int, doc_ids: list, held: list[np.ndarray], bits: int) -> pa.RecordBatch:
+def _row(part: int, seq: int, before: int, doc_ids: list, held: list[np.ndarray], bits: int) -> pa.RecordBatch:
     ids = np.concatenate(held)
     planes, ranks, zeros = build(ids, bits)
     binary = pa.list_(pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()),
+        [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()),
          pa.array([doc_ids], pa.list_(pa.int64())), pa.array([[len(h) for h in held]], pa.list_(pa.int64())),
          pa.array([bits], pa.int32()), pa.array([planes], binary), pa.array([ranks], binary),
          pa.array([zeros], pa.list_(pa.int64()))],
-        names=["part", "seq", "n_ids", "doc_ids", "lengths", "bits", "planes", "ranks", "zeros"])
+        names=["part", "seq", "n_before", "n_ids", "doc_ids", "lengths", "bits", "planes", "ranks", "zeros"])
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """The shards with `start`, the number of ids in all shards before each.
 
-    Sums of whole parts are added up on the driver (one number for each task that wrote), the rest inside its part.
+    A shard knows how many ids its own task wrote before it; the sums of whole tasks, one number each, are added up
+    on the driver.
     """
     shards = spark.read.schema(SHARDS).parquet(path)
-    sums, starts = 0, []
+    total, starts = 0, []
     for part, n in sorted(tuple(r) for r in shards.groupBy("part").agg(F.sum("n_ids")).collect()):
-        starts.append((part, sums))
-        sums += n
+        starts.append((part, total))
+        total += n
     before = spark.createDataFrame(starts, "part int, part_start bigint")
-    inside = shards.select(F.col("part").alias("p"), F.col("seq").alias("s"), F.col("n_ids").alias("n"))
-    earlier = (shards.select("part", "seq").join(inside, (F.col("part") == F.col("p")) & (F.col("s") < F.col("seq")))
-               .groupBy("part", "seq").agg(F.sum("n").alias("earlier")))
-    return (shards.join(F.broadcast(before), "part").join(earlier, ["part", "seq"], "left")
-            .withColumn("start", F.col("part_start") + F.coalesce("earlier", F.lit(0))).drop("part_start", "earlier"))
+    return (shards.join(F.broadcast(before), "part")  # a row for each task that wrote
+            .withColumn("start", F.col("part_start") + F.col("n_before")).drop("part_start"))
 
 
 def documents(shards: DataFrame) -> DataFrame:
