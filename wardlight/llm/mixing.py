@@ -72,7 +72,7 @@ def schedule(sources: DataFrame) -> DataFrame:
 
 
 def numbered(docs: DataFrame, seed: str = "0") -> DataFrame:
-    """`docs` with `nth`, its number from 0 among the rows of its source in the order of an md5 of id and seed."""
+    """`docs` with `__nth`, its number from 0 among the rows of its source in the order of an md5 of id and seed."""
     keyed = (docs.withColumn("__order", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":" + seed))))
              .withColumn("__piece", F.substring("__order", 1, 4)))
     counts = keyed.groupBy("source", "__piece").agg(F.count("*").alias("__n"))
@@ -80,37 +80,43 @@ def numbered(docs: DataFrame, seed: str = "0") -> DataFrame:
         W.partitionBy("source").orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     inside = F.row_number().over(W.partitionBy("source", "__piece").orderBy("__order", "doc_id"))
     return (keyed.join(before, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__piece") == F.col("__p")))
-            .withColumn("nth", F.col("__before") + inside - 1)
+            .withColumn("__nth", F.col("__before") + inside - 1)
             .drop("__order", "__piece", "__s", "__p", "__before"))
 
 
+def _placed(docs: DataFrame, weights: Mapping[str, int], default: int, block_rows: int, seed: str) -> DataFrame:
+    """`docs` with `__block`, `__slot` and `__position`, besides columns to be left out."""
+    plan = schedule(source_weights(docs, weights, default))
+    w = plan.where("kth = 0").select(F.col("source").alias("__s"), F.col("weight").alias("__w"))
+    slots = plan.select(F.col("source").alias("__t"), F.col("kth").alias("__k"), F.col("slot").alias("__at"), F.col("period").alias("__period"),
+                        F.col("all_weights").alias("__weights"), F.col("all_rows").alias("__rows"), F.col("all_before").alias("__done"))
+    blocks = (numbered(docs, seed)
+              .join(F.broadcast(w), F.col("source").eqNullSafe(F.col("__s")))  # one row for each source
+              .withColumn("__block", F.floor(F.col("__nth") / block_rows))
+              .withColumn("__round", F.floor(F.col("__block") / F.col("__w")))
+              .withColumn("__kth", F.col("__block") - F.col("__round") * F.col("__w"))
+              .join(F.broadcast(slots), F.col("source").eqNullSafe(F.col("__t")) & (F.col("__kth") == F.col("__k"))))
+    taken = F.zip_with("__weights", "__done", lambda a, b: (F.col("__round") * a + b) * block_rows)
+    before = F.aggregate(F.zip_with("__rows", taken, lambda n, t: F.least(n, t)), F.lit(0).cast("long"), lambda a, x: a + x)
+    return (blocks.withColumn("__slot", F.col("__round") * F.col("__period") + F.col("__at"))
+            .withColumn("__position", before + F.col("__nth") % block_rows))
+
+
 def mix(docs: DataFrame, weights: Mapping[str, int], default: int = 1, block_rows: int = BLOCK_ROWS,
         seed: str = "0") -> DataFrame:
     """Every row of `docs` (doc_id, source and any others) with block, slot and position in the mixed order.
 
-    Positions count from 0 without gaps; sorting by `position` gives the order. Columns named nth, block, slot or
+    Positions count from 0 without gaps; sorting by `position` gives the order. Columns named block, slot or
     position are replaced. Rows that repeat an id stand next to each other in their source, NULL ids by the hash of an
     empty id. An empty table gives no rows. Weights of sources that are not there are left out.
     """
-    docs = docs.drop("nth", "block", "slot", "position")
-    plan = schedule(source_weights(docs, weights, default))
-    w = plan.where("kth = 0").select(F.col("source").alias("__s"), F.col("weight").alias("__w"))
-    slots = plan.select(F.col("source").alias("__t"), "kth", F.col("slot").alias("__slot"), "period", "all_weights", "all_rows", "all_before")
-    blocks = (numbered(docs, seed)
-              .join(F.broadcast(w), F.col("source").eqNullSafe(F.col("__s")))  # one row for each source
-              .withColumn("block", F.floor(F.col("nth") / block_rows))
-              .withColumn("__round", F.floor(F.col("block") / F.col("__w")))
-              .withColumn("__kth", F.col("block") - F.col("__round") * F.col("__w")))
-    placed = blocks.join(F.broadcast(slots), F.col("source").eqNullSafe(F.col("__t")) & (F.col("__kth") == F.col("kth")))
-    taken = F.zip_with("all_weights", "all_before", lambda a, b: (F.col("__round") * a + b) * block_rows)
-    before = F.aggregate(F.zip_with("all_rows", taken, lambda n, t: F.least(n, t)), F.lit(0).cast("long"), lambda a, x: a + x)
-    return placed.select(*docs.columns, "block", (F.col("__round") * F.col("period") + F.col("__slot")).alias("slot"),
-                         (before + F.col("nth") % block_rows).alias("position"))
+    added = ("block", "slot", "position")
+    keep = [c for c in docs.columns if c.lower() not in added]
+    return _placed(docs, weights, default, block_rows, seed).select(*keep, *[F.col("__" + c).alias(c) for c in added])
 
 
 def in_order(docs: DataFrame, weights: Mapping[str, int], default: int = 1, block_rows: int = BLOCK_ROWS,
              seed: str = "0") -> DataFrame:
     """`docs` with the same columns, dealt into consecutive ranges of the mixed order and sorted by it."""
-    mark = "__position"
-    mixed = mix(docs, weights, default, block_rows, seed).withColumnRenamed("position", mark)
-    return mixed.repartitionByRange(mark).sortWithinPartitions(mark).select(*docs.columns)
+    return (_placed(docs, weights, default, block_rows, seed).repartitionByRange("__position")
+            .sortWithinPartitions("__position").select(*docs.columns))

@@ -153,33 +153,48 @@ def _grow(values: np.ndarray, bad: np.ndarray, names: Sequence[str], longest: in
     conditions, held = [], np.ones(len(values), bool)
     while len(conditions) < longest and (held & ~bad).any():
         p0, n0 = (held & bad).sum(), (held & ~bad).sum()
-        best = (0.0, None, None)
+        best, around = (0.0, None), None
         for k, name in enumerate(names):
             column = values[held, k]
-            cuts = np.unique(np.quantile(column, np.linspace(0.01, 0.99, 50)))
-            cuts = np.unique((cuts[1:] + cuts[:-1]) / 2) if len(cuts) > 1 else cuts
+            marks = np.unique(np.quantile(column, np.linspace(0, 1, 51)))
             for above in (True, False):
-                covered = column[:, None] > cuts if above else column[:, None] <= cuts
-                p = covered[bad[held]].sum(0)
-                n = covered[~bad[held]].sum(0)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = np.where(p > 0, p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0))), 0)
-                at = int(np.argmax(gain))
-                if gain[at] > best[0] + 1e-9:
-                    best = (float(gain[at]), (name, above, float(cuts[at])), None)
+                gain, at = _best_cut(column, bad[held], (marks[1:] + marks[:-1]) / 2, above, p0, n0)
+                if gain > best[0] + 1e-9:
+                    best, around = (gain, (name, above, float((marks[at] + marks[at + 1]) / 2))), (column, marks[max(at - 1, 0)], marks[min(at + 2, len(marks) - 1)])
         if best[1] is None:
             break
+        column, low, high = around
+        fine = np.unique(column[(column >= low) & (column <= high)])
+        name, above, _ = best[1]
+        gain, at = _best_cut(column, bad[held], (fine[1:] + fine[:-1]) / 2, above, p0, n0)
+        if gain > best[0]:
+            best = gain, (name, above, float((fine[at] + fine[at + 1]) / 2))
         conditions.append(best[1])
         held &= _covers(values, names, [best[1]])
     return conditions
 
 
-def learn(values: np.ndarray, bad: np.ndarray, names: Sequence[str], precision: float = 0.99, least: int = 5,
-          longest: int = 4, most_rules: int = 30) -> list[Rule]:
+def _best_cut(column: np.ndarray, bad: np.ndarray, cuts: np.ndarray, above: bool, p0: int, n0: int) -> tuple[float, int]:
+    """The best information gain of a threshold, and which of the cuts (in order) it is."""
+    if not len(cuts):
+        return 0.0, 0
+    place = np.searchsorted(cuts, column, "left")  # so many cuts are below the value
+    p = np.cumsum(np.bincount(place[bad], minlength=len(cuts) + 1))[:-1]
+    n = np.cumsum(np.bincount(place[~bad], minlength=len(cuts) + 1))[:-1]
+    if above:
+        p, n = p0 - p, n0 - n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(p > 0, p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0))), 0)
+    at = int(np.argmax(gain))
+    return float(gain[at]), at
+
+
+def learn(values: np.ndarray, bad: np.ndarray, names: Sequence[str], precision: float = 0.99, held_precision: float = 0.95,
+          least: int = 5, longest: int = 4, most_rules: int = 30) -> list[Rule]:
     """The ordered rules that reject. Rows alternate, two to grow on and one to prune on.
 
-    A rule stays if at least `least` bad rows in all are covered and `precision` of what it covers is bad, on the rows
-    it was pruned on and on all. Without bad rows, or rows at all, there are no rules and everything is kept.
+    A rule stays if at least `least` bad rows in all are covered, and of what it covers `precision` is bad on all rows
+    and `held_precision` on the rows it was pruned on. Without bad rows, or rows at all, there are no rules and everything is kept.
     """
     rules, left, growing = [], np.ones(len(values), bool), np.ones(len(values), bool)
     prune = np.arange(len(values)) % 3 == 2
@@ -198,7 +213,7 @@ def learn(values: np.ndarray, bad: np.ndarray, names: Sequence[str], precision:
                 best, score = conditions[:k], (p - n) / (p + n)
         covered = _covers(values, names, best) & left
         p, n = int((covered & bad).sum()), int((covered & ~bad).sum())
-        if p < least or score < 2 * precision - 1 or p < precision * (p + n):
+        if p < least or score < 2 * held_precision - 1 or p < precision * (p + n):
             if not (covered & grow).any():
                 break
             growing &= ~(covered & bad)  # another rule is sought for the rest
