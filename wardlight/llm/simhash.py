@@ -105,9 +105,14 @@ def within(pairs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def _spread(nodes: DataFrame) -> DataFrame:
+    """The same rows over as many tasks as a shuffle has: each becomes over a hundred, so few small files won't do."""
+    return nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+
+
 def linked_fingerprints(prints: DataFrame) -> DataFrame:
     """(node, root) of the distinct fingerprints (`bits`) that links of at most three bits join."""
-    nodes = prints.select(F.col("bits").alias("node")).distinct()
+    nodes = _spread(prints.select(F.col("bits").alias("node")).distinct())
     return linked(nodes.select(F.explode(ball_keys(F.col("node"))).alias("key"), "node"), within)
 
 
@@ -198,7 +203,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
                                                  F.min("size").alias("size"), F.min("samples").alias("samples")), "text-classes")
     samples = classes.select(F.posexplode("samples").alias("order", "sample"), "node").select(
         F.xxhash64(F.lit("sample"), "order", "sample").alias("key"), "node")
-    balls = classes.where("size > 0").select(F.explode(ball_keys(F.col("bits"))).alias("key"), "node")
+    balls = _spread(classes.where("size > 0").select("node", "bits")).select(F.explode(ball_keys(F.col("bits"))).alias("key"), "node")
     sizes = classes.select("node", "size")
 
     def verified(pairs: DataFrame) -> DataFrame:
