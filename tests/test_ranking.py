@@ -24,12 +24,27 @@ def same(df, got, want):
 
 
 @pytest.fixture(params=["broadcast", "shuffle"])
-def way(request, monkeypatch):
-    """Both ways of bringing positions back to the rows."""
+def way(request, spark):
+    """Spark brings positions back to the rows by either join; the rows must not depend on it."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if request.param == "shuffle":
-        monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
-        monkeypatch.setattr(ranking, "HOT_SHARE", 20)
-    return request.param
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeated_and_null_ids(spark, way):
+    data = [("a", "x", 1.0), ("a", "x", 2.0), (None, "x", 2.0), ("b", "x", None), ("b", "x", None), (None, None, 3.0), ("a", "y", 1.0), ("a", "y", 1.0)]
+    df = spark.createDataFrame(data, "key string, g string, x double")
+    rows = lambda d: sorted(d.collect(), key=repr)
+    places = Window.partitionBy("g").orderBy(F.col("x").desc_nulls_last())
+    want = df.withColumn("got", F.rank().over(places).cast("long"))
+    assert rows(ranking.rank_in(df, ["g"], "x", "key", "got")) == rows(want)
+    want = df.withColumn("got", F.percent_rank().over(Window.orderBy(F.col("x").asc_nulls_last())))
+    assert rows(ranking.percent_rank(df, "x", "key", "got")) == rows(want)
+    want = df.withColumn("got", F.row_number().over(Window.partitionBy("g").orderBy(F.col("x").desc_nulls_last(), "key")).cast("long"))
+    assert rows(ranking.row_number_in(df, ["g"], "x", "key", "got")) == rows(want)
+    assert ranking.average_percentile_in(df, ["g"], "x", "key", "got").count() == len(data)
 
 
 def test_percent_rank(spark, rows, way):

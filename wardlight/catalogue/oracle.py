@@ -31,12 +31,12 @@ def round6(x: str) -> str:
 
 def mean(x: str) -> str:
     """Mean of a decimal expression."""
-    return settle(f"CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0)")
+    return f"(CAST(sum({x}) AS DOUBLE) / nullif(count({x}), 0))"
 
 
 def dmean(x: str) -> str:
-    """Mean of a double expression."""
-    return mean(f"CAST({settle(f'CAST({x} AS DOUBLE)')} AS DECIMAL(28,9))")
+    """Mean of a double expression, added exactly."""
+    return mean(f"CAST(CAST({x} AS DOUBLE) AS DECIMAL(38,18))")
 
 
 def num(x: str, tokens: Sequence[str]) -> str:
@@ -217,8 +217,8 @@ FROM mart_hospital_performance"""
 
 
 def dmean_over(x: str, by: str) -> str:
-    d = f"CAST({settle(x)} AS DECIMAL(28,9))"
-    return settle(f"CAST(sum({d}) OVER (PARTITION BY {by}) AS DOUBLE) / nullif(count({d}) OVER (PARTITION BY {by}), 0)")
+    d = f"CAST({x} AS DECIMAL(38,18))"
+    return f"(CAST(sum({d}) OVER (PARTITION BY {by}) AS DOUBLE) / nullif(count({d}) OVER (PARTITION BY {by}), 0))"
 
 
 FEATURE_DOUBLES = (

@@ -9,6 +9,7 @@ from wardlight.catalogue import oracle as o
 from wardlight.catalogue.pipeline import PERFORMANCE, READM, REGION, RISK, COMMUNITY
 from wardlight.catalogue.registry import Inputs, query
 from wardlight.functions import columns as c
+from wardlight.functions import exact
 from wardlight.operators import aggregates as agg
 from wardlight.operators import filters, joins, ordering, ranking
 from wardlight.plans import marts, scores, staging
@@ -376,6 +377,32 @@ def _(i: Inputs):
         "provider_id", "state", "place")
 
 
+@query("rank_with_repeated_ids", """
+SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_returnflag ORDER BY l_discount DESC NULLS LAST) AS place,
+       row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity NULLS LAST, l_orderkey * 100000 + l_linenumber * 1000 + CAST(round(l_discount * 100) AS BIGINT)) AS number
+FROM lineitem""")
+def _(i: Inputs):
+    """The rank's key repeats: an order has several lines."""
+    rows = i.table("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_discount", "l_quantity",
+                                      (F.col("l_orderkey") * 100000 + F.col("l_linenumber") * 1000
+                                       + F.round(F.col("l_discount") * 100).cast("bigint")).alias("line"))
+    ranked = ranking.rank_in(rows, ["l_returnflag"], "l_discount", "l_orderkey", "place")
+    return ranking.row_number_in(ranked, ["l_returnflag"], "l_quantity", "line", "number", ascending=True).select(
+        "l_orderkey", "l_linenumber", "place", "number")
+
+
+@query("mean_of_any_size", """
+SELECT l_returnflag, CAST(round(sum(CAST(l_quantity AS DECIMAL(18,2))) * 1000000 / count(l_quantity), 0) AS BIGINT) AS tiny_in_quadrillionths,
+       CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2))) * 1000000 / count(l_extendedprice), 0) AS BIGINT) AS huge_in_thousands
+FROM lineitem GROUP BY l_returnflag""")
+def _(i: Inputs):
+    """Values of about 1e-8 and of about 1e14."""
+    means = i.table("lineitem").groupBy("l_returnflag").agg(
+        exact.mean(F.col("l_quantity") / F.lit(1e9)).alias("tiny"), exact.mean(F.col("l_extendedprice") * F.lit(1e9)).alias("huge"))
+    return means.select("l_returnflag", F.rint(F.col("tiny") * F.lit(1e15)).cast("bigint").alias("tiny_in_quadrillionths"),
+                        F.rint(F.col("huge") / F.lit(1e3)).cast("bigint").alias("huge_in_thousands"))
+
+
 @query("row_numbers_in_state", f"""
 SELECT provider_id, row_number() OVER (PARTITION BY state ORDER BY composite_quality_score DESC NULLS LAST, provider_id)
          AS best_rank,

@@ -1,12 +1,10 @@
 """Means and rounding that do not depend on the order rows arrive in.
 
-Sums of doubles differ in their last bits from run to run, which would break
-ties before a ranking. Here each value becomes a whole number of billionths,
-added in two long counters: its low 24 bits and the rest. Values are scores, so
-neither counter overflows below 5 * 10^11 rows in one group; values of a million
-and more are added as doubles instead. That is exact where it matters and far
-cheaper than a sum of decimals. `settle` then removes the noise of the final
-division.
+Sums of doubles differ in their last bits from run to run, which would break ties before a ranking. Here each value is
+taken apart into five whole numbers: its whole part above and below 2^28, and three times 28 bits behind the point.
+Each is added in a long counter, exactly and in any order, for up to 2^35 rows of a group; the counters meet in two
+decimals at the end. Values are so kept to 2^-84. There is no other way for small or large ones; only infinite values,
+NaN and values from 2^90, whose whole part fits no counter, are added as doubles and make the mean what doubles make it.
 """
 
 from __future__ import annotations
@@ -15,9 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _UNITS = 1e9
-_LARGE = 1e6
-_LOW_BITS = 24
-_LOW_MASK = (1 << _LOW_BITS) - 1
+_STEP = float(1 << 28)
+_MOST = float(1 << 90)
 
 
 def settle(c: Column) -> Column:
@@ -30,12 +27,17 @@ def round6(c: Column) -> Column:
 
 
 def mean(c: Column) -> Column:
-    """Mean as a double, each value taken to nine decimals; NULL when nothing was counted."""
+    """Mean as a double; NULL when nothing was counted."""
     x = c.cast("double")
-    fits = F.abs(x) < F.lit(_LARGE)
-    units = F.when(fits, F.rint(x * F.lit(_UNITS)).cast("long"))
-    whole = lambda counter: F.coalesce(F.sum(counter), F.lit(0)).cast("decimal(19,0)")
-    high, low = F.shiftright(units, _LOW_BITS), units.bitwiseAND(F.lit(_LOW_MASK).cast("long"))
-    total = whole(high) * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + whole(low)
+    fits = F.abs(x) < F.lit(_MOST)
+    size, sign = F.when(fits, F.abs(x)), F.when(x < 0, -1).otherwise(1)
+    # multiples of powers of two and remainders are exact, so each part comes from the value itself
+    behind = lambda k: F.floor((size * F.lit(_STEP ** k)) % F.lit(_STEP))
+    counter = lambda part: F.coalesce(F.sum(sign * part), F.lit(0)).cast("decimal(19,0)")
+    step = F.lit(1 << 28).cast("decimal(9,0)")
+    joined = lambda a, b: (a * step + b).cast("decimal(38,0)")
+    whole = joined(counter(F.floor(size / F.lit(_STEP))), counter(behind(0)))
+    fraction = joined(joined(counter(behind(1)), counter(behind(2))).cast("decimal(28,0)"), counter(behind(3)))
+    total = whole.cast("double") + fraction.cast("double") / F.lit(_STEP ** 3)
     large = F.coalesce(F.sum(F.when(~fits, x)), F.lit(0.0))
-    return settle(F.try_divide(total.cast("double") / F.lit(_UNITS) + large, F.count(x)))
+    return F.try_divide(total + large, F.count(x))

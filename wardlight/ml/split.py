@@ -18,11 +18,7 @@ def _hash(key: str, seed: int) -> Column:
 def _shuffled_in(df: DataFrame, key: str, seed: int, strata: str) -> DataFrame:
     """Adds `_place`, the row's place in its stratum in hash order, and `_stratum_n`."""
     hashed = df.withColumn("_hash", _hash(key, seed))
-    placed = ranking.row_number_in(hashed, [strata], "_hash", key, "_place", ascending=True)
-    sizes = df.groupBy(strata).agg(F.count(F.lit(1)).alias("_stratum_n"))
-    # One row per class label; Spark broadcasts it when its size allows.
-    return placed.join(sizes.withColumnRenamed(strata, "_s"), F.col(strata).eqNullSafe(F.col("_s")), "left").drop(
-        "_hash", "_s")
+    return ranking.numbered_in(hashed, "_hash", key, [strata], out="_place", size="_stratum_n").drop("_hash")
 
 
 def split(df: DataFrame, key: str, share: float = fv.TEST_SHARE, seed: int = fv.SEED,

@@ -26,11 +26,6 @@ from pyspark.sql import functions as F
 
 from wardlight.workspace import stage
 
-# A position table up to this many rows is broadcast; its size is counted first.
-BROADCAST_ROWS = 200_000
-# Values holding more than 1/HOT_SHARE of all rows are joined by broadcast;
-# there can be at most HOT_SHARE of them.
-HOT_SHARE = 1000
 # Quantile brackets reach two of these parts to either side.
 BRACKET_ACCURACY = 2000
 
@@ -110,34 +105,20 @@ def _join_on_values(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(renamed, match, how).drop(*[f"_k{i}" for i in range(len(on))])
 
 
-def attach_positions(df: DataFrame, positions: DataFrame, value: str, key: str,
-                     by: Sequence[str] = ()) -> DataFrame:
-    """Adds `n`, `n_before`, `group_n` to every row of `df`; `key` identifies a row.
+def attach_positions(df: DataFrame, positions: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Adds `n`, `n_before`, `group_n` to every row of `df`.
 
-    A small position table is broadcast to the rows. A large one is looked up
-    from (key, group, value) triples only, very frequent values by broadcast
-    and the others by a shuffle in which none is frequent, and the answer joins
-    the wide rows once on the unique key.
+    Positions are one row per group and value, so a left join by these, NULLs included, keeps every row of `df` once,
+    whatever its id. They are stored first: Spark knows their size, broadcasts them while that is small, and beyond
+    that splits a frequent value of `df` at run time.
     """
-    on = [*by, value]
-    # A count of already reduced, staged rows: the windows above it are pruned away.
-    if positions.count() <= BROADCAST_ROWS:
-        return _join_on_values(df, F.broadcast(positions), on, "left")
-    positions = stage(positions, "positions")
-    triples = df.select(key, *on)
-    n_rows = positions.agg(F.sum("n")).first()[0]
-    frequent = F.col("n") > F.lit(max(n_rows // HOT_SHARE, 1))
-    hot = F.broadcast(positions.where(frequent))
-    cold = positions.where(~frequent)
-    found = _join_on_values(triples, hot, on, "inner").unionByName(
-        _join_on_values(_join_on_values(triples, hot.select(*on), on, "left_anti"), cold, on, "inner"))
-    return df.join(found.drop(*on), key, "left")
+    return _join_on_values(df, stage(positions, "positions"), [*by, value], "left")
 
 
 def _ranked(df: DataFrame, value: str, key: str, by: Sequence[str], ascending: bool,
             skip_null: bool, out: str, expr: Column) -> DataFrame:
     positions = value_positions(df, value, by, ascending, skip_null)
-    placed = attach_positions(df, positions, value, key, by)
+    placed = attach_positions(df, positions, value, by)
     return placed.withColumn(out, expr).drop("n", "n_before", "group_n")
 
 
@@ -149,7 +130,7 @@ def percent_rank(df: DataFrame, value: str, key: str, out: str, by: Sequence[str
 def attach_percent_rank(df: DataFrame, positions: DataFrame, value: str, key: str, out: str,
                         by: Sequence[str] = ()) -> DataFrame:
     share = F.col("n_before").cast("double") / F.nullif((F.col("group_n") - 1).cast("double"), F.lit(0.0))
-    placed = attach_positions(df, positions, value, key, by)
+    placed = attach_positions(df, positions, value, by)
     return placed.withColumn(out, F.coalesce(share, F.lit(0.0))).drop("n", "n_before", "group_n")
 
 
@@ -171,21 +152,31 @@ def average_percentile_in(df: DataFrame, by: Sequence[str], value: str, key: str
     return _ranked(df, value, key, by, True, True, out, F.when(grouped, middle))
 
 
+def numbered_in(df: DataFrame, value: str, key: str, by: Sequence[str] = (), ascending: bool = True,
+                out: str = "row_number", size: str | None = None) -> DataFrame:
+    """`df` with each row's place in its group by value, NULLs last, ties by key; and with the group's rows as `size`.
+
+    The rows themselves are cut into ranges, so there is no join back and rows that repeat an id are numbered each.
+    """
+    order = [_order(value, ascending), F.col(key).asc()]
+    placed = _with_slice_offsets(_sliced(df, *order), by, F.lit(1))
+    local = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(*order))
+    numbered = placed.withColumn(out, F.col("_offset") + local)
+    if size is not None:
+        numbered = numbered.withColumn(size, F.col("group_n"))
+    return numbered.select(*df.columns, out, *([] if size is None else [size]))
+
+
 def row_positions(df: DataFrame, value: str, key: str, by: Sequence[str] = (),
                   ascending: bool = True) -> DataFrame:
     """(group, key, value, `row_number`): place by value, NULLs last, ties by key."""
-    order = [_order(value, ascending), F.col(key).asc()]
-    sliced = _sliced(df.select(*by, key, value), *order)
-    placed = _with_slice_offsets(sliced, by, F.lit(1))
-    local = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(*order))
-    return placed.select(*by, key, value, (F.col("_offset") + local).alias("row_number"))
+    return numbered_in(df.select(*by, key, value), value, key, by, ascending)
 
 
 def row_number_in(df: DataFrame, by: Sequence[str], value: str, key: str, out: str,
                   ascending: bool = False) -> DataFrame:
     """``row_number() over (partition by ... order by value [desc] nulls last, key)``."""
-    places = row_positions(df, value, key, by, ascending).select(key, F.col("row_number").alias(out))
-    return df.join(places, key, "left")
+    return numbered_in(df, value, key, by, ascending, out)
 
 
 def _after(value: str, key: str, cut_value, cut_key) -> Column:
