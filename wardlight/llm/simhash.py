@@ -106,8 +106,11 @@ def within(pairs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def _spread(nodes: DataFrame) -> DataFrame:
-    """The same rows over as many tasks as a shuffle has: each becomes over a hundred, so few small files won't do."""
-    return nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+    """The same rows over as many tasks as a shuffle has: each becomes over a hundred, so a few tasks won't do.
+
+    Dealt by a hash of the node: a dealing by the node itself is taken for the one that `distinct` has made, and left out.
+    """
+    return nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("node"))
 
 
 def linked_fingerprints(prints: DataFrame) -> DataFrame:
