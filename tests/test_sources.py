@@ -87,3 +87,18 @@ def test_ensure_columns(spark):
     df = spark.createDataFrame([("7",), ("x",)], "score string")
     got = ensure_columns(df, {"state": "N/A", "score": None}, ["score"]).collect()
     assert [tuple(r) for r in got] == [(7.0, "N/A"), (None, "N/A")]
+
+
+def test_folder_by_name_and_null_markers(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text("id,score\n007,N/A\n008,3\n")
+    (tmp_path / "d" / "2.csv").write_text("score,id,more\nNULL,009,x\n")
+    got = {tuple(r) for r in ingest.read_raw_csv(spark, str(tmp_path / "d")).select("id", "score", "more").collect()}
+    assert got == {("007", None, None), ("008", "3", None), ("009", None, "x")}
+    kept = ingest.read_raw_csv(spark, str(tmp_path / "d" / "1.csv"), null_markers=()).first()
+    assert kept["score"] == "N/A"
+
+
+def test_numbered_names_stay_free(spark):
+    df = spark.createDataFrame([("1", "2", "3", "4")], ["a", "A", "a_2", "a "])
+    assert ingest.clean_columns(df).columns == ["a", "a_3", "a_2", "a_4"]

@@ -59,7 +59,8 @@ def _parts(train_rows, test_rows):
     return train_rows.withColumn("part", F.lit("train")).unionByName(test_rows.withColumn("part", F.lit("test")))
 
 
-@query("random_split")
+@query("random_split", f"""
+SELECT c_custkey, CASE WHEN {o.seeded_hash('c_custkey', fv.SEED)} % 1000000 < 200000 THEN 'test' ELSE 'train' END AS part FROM customer""")
 def _(i: Inputs):
     return _parts(*split.split(i.table("customer").select("c_custkey"), "c_custkey"))
 
@@ -82,7 +83,8 @@ def _(i: Inputs):
     return rows.groupBy("c_mktsegment", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("random_folds")
+@query("random_folds", f"""
+SELECT c_custkey, CAST({o.seeded_hash('c_custkey', fv.SEED)} % 5 AS INTEGER) AS fold FROM customer""")
 def _(i: Inputs):
     return split.with_folds(i.table("customer").select("c_custkey"), "c_custkey")
 

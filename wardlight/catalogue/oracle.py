@@ -39,6 +39,10 @@ def dmean(x: str) -> str:
     return mean(f"CAST(CAST({x} AS DOUBLE) AS DECIMAL(38,18))")
 
 
+def seeded_hash(x: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5(coalesce(CAST({x} AS VARCHAR), '') || ':{seed}'), 1, 15) AS BIGINT)"
+
+
 def num(x: str, tokens: Sequence[str]) -> str:
     cleaned = f"regexp_replace({x}, '[^0-9.\\-]', '', 'g')"
     return (f"(CASE WHEN lower(coalesce({x}, '')) IN {in_list(tokens)} THEN NULL "
@@ -169,9 +173,9 @@ SELECT *, {settle(weighted(fv.QUALITY_COMPONENTS, 50.0))} AS composite_quality_s
     "tiled": "SELECT h.*, c.* EXCLUDE (state), CAST(ntile(3) OVER (ORDER BY c.community_health_burden_score NULLS LAST, "
              "h.provider_id) AS INTEGER) AS burden_tertile FROM int_hospital_scores h LEFT JOIN state_health c "
              "ON h.state = c.state",
-    "int_community_risk": "SELECT *, (CASE burden_tertile "
-                          + " ".join(f"WHEN {k} THEN {q(v)}" for k, v in fv.BURDEN_LABELS.items())
-                          + f" ELSE {q(fv.BURDEN_DEFAULT)} END) AS risk_context_label FROM tiled",
+    "int_community_risk": """
+SELECT *, (CASE burden_tertile WHEN 3 THEN 'High Burden' WHEN 2 THEN 'Moderate Burden' ELSE 'Low Burden' END)
+       AS risk_context_label FROM tiled""",
     "perf_ranked": "SELECT *, percent_rank() OVER (ORDER BY readmission_risk_score NULLS LAST) AS readmission_pct_rank, "
                    "percent_rank() OVER (ORDER BY composite_quality_score NULLS LAST) AS quality_pct_rank "
                    "FROM int_community_risk",

@@ -537,7 +537,9 @@ def _(i: Inputs):
     return ordering.improvement(ordering.trend(i.performance, history, fv.CURRENT_YEAR), 2021, 2023)
 
 
-@query("reproducible_sample")
+@query("reproducible_sample", f"""
+SELECT id, l_extendedprice FROM (SELECT l_orderkey * 10 + l_linenumber AS id, l_extendedprice FROM lineitem)
+ORDER BY {o.seeded_hash('id', fv.SEED)}, id LIMIT {fv.EXPLAIN_ROWS}""")
 def _(i: Inputs):
     rows = i.table("lineitem").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     return ordering.sample_n(rows, fv.EXPLAIN_ROWS, fv.SEED, "id").select("id", "l_extendedprice")

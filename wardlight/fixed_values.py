@@ -270,3 +270,9 @@ PERFORMANCE_COLUMNS = (
     "hospital_name", "city", "state", "hospital_type", "composite_quality_score",
     "readmission_risk_score", "patient_experience_score", "readmission_risk_label", "quality_tier",
 )
+
+# ---- text files (fixed values) -----------------------------------------------
+
+# Cells of a raw file that stand for nothing.
+NULL_MARKERS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+                "NA", "NULL", "NaN", "None", "n/a", "nan", "null")

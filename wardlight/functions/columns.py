@@ -221,3 +221,9 @@ def filter_in(**choices: Sequence | None) -> Column:
     """AND of membership tests; an empty or missing list does not filter."""
     return reduce(lambda a, b: a & b,
                   [F.col(c).isin(*values) for c, values in choices.items() if values], F.lit(True))
+
+
+def seeded_hash(key: Column, seed: int) -> Column:
+    """60 bits of the md5 of an id and a seed as a whole number; the same in every engine. NULL ids hash as empty text."""
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight import fixed_values as fv
+from wardlight.functions.columns import seeded_hash
 from wardlight.operators import ranking
 
 _STEPS = 1_000_000
 
 
 def _hash(key: str, seed: int) -> Column:
-    return F.xxhash64(F.col(key), F.lit(seed))
+    return seeded_hash(F.col(key), seed)
 
 
 def _shuffled_in(df: DataFrame, key: str, seed: int, strata: str) -> DataFrame:

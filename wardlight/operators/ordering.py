@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlight import fixed_values as fv
-from wardlight.functions.columns import clean_key, rating_to_100
+from wardlight.functions.columns import clean_key, rating_to_100, seeded_hash
 from wardlight.functions.exact import mean
 from wardlight.operators.joins import with_global
 
@@ -115,4 +115,4 @@ def improvement(trends: DataFrame, first: int, last: int, n: int = 10) -> DataFr
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """At most n rows, the same ones whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(seeded_hash(F.col(key), seed), key).limit(n)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +31,23 @@ def _distinct_header(names: Sequence[str]) -> list[str]:
     return out
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    """Every row of a CSV file or folder with a header, every column as text.
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | None = None,
+                 null_markers: Sequence[str] = fv.NULL_MARKERS) -> DataFrame:
+    """Every row of a CSV file, or of all files of a folder, with a header; every column as text.
 
-    No type is inferred, so ids keep their leading zeros. Files whose quoted
-    fields hold line breaks cannot be split among tasks; unless told, a first
-    pass over the lines finds out whether that is needed.
+    No type is inferred, so ids keep their leading zeros. Each file is read by its own header and the files are put
+    together by name; a column that a file lacks is NULL in its rows. Cells that hold a null marker are NULL. Files
+    whose quoted fields hold line breaks cannot be split among tasks; unless told, a first pass over the lines of each
+    file finds out whether that is needed.
     """
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        raise ValueError(f"no file in {path}")
+    tables = [_read_file(spark, f, multi_line, null_markers) for f in files]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _read_file(spark: SparkSession, path: str, multi_line: bool | None, null_markers: Sequence[str]) -> DataFrame:
     if multi_line is None:
         multi_line = has_line_breaks_in_quotes(spark, path)
     reader = spark.read.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
@@ -45,7 +56,9 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | None = None)
         raise ValueError(f"no header in {path}")
     names = _distinct_header([v if v is not None else f"unnamed {i}" for i, v in enumerate(header)])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.option("header", True).schema(schema).csv(path)
+    rows = reader.option("header", True).schema(schema).csv(path)
+    cell = lambda n: F.col("`" + n.replace("`", "``") + "`")
+    return rows.select(*[F.when(~cell(n).isin(list(null_markers)), cell(n)).alias(n) if null_markers else cell(n) for n in names])
 
 
 def clean_column(name: str) -> str:
@@ -55,12 +68,15 @@ def clean_column(name: str) -> str:
 
 
 def clean_columns(df: DataFrame) -> DataFrame:
-    """Cleaned names; the second, third, ... column of a name gets `_2`, `_3`, ..."""
-    seen: dict[str, int] = {}
-    out = []
-    for base in map(clean_column, df.columns):
-        seen[base] = seen.get(base, 0) + 1
-        out.append(base if seen[base] == 1 else f"{base}_{seen[base]}")
+    """Cleaned names; a name that is taken gets the first free of `_2`, `_3`, ... Names that need no number come first."""
+    bases = [clean_column(c) for c in df.columns]
+    taken, out = set(bases), []
+    for base in bases:
+        name, number = base, 2
+        while name in out:
+            name = f"{base}_{number}" if f"{base}_{number}" not in taken else name
+            number += 1
+        out.append(name)
     return df.toDF(*out)
 
 
