@@ -28,7 +28,8 @@ def workspace_root(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="wardlight-")
