@@ -74,6 +74,8 @@ def test_gates(spark):
                                "readmission_risk_label string, composite_quality_score double")
     report = quality.performance_gate(df, floor=2)
     assert [r.ok for r in report.collect()] == [True, False, True]
+    gate = quality.performance_gate(df, floor=2, models={"risk": "/no/such/model", "root": "/"})
+    assert [r.ok for r in gate.collect()] == [True, False, True, False, True]
     with pytest.raises(RuntimeError, match="null rate"):
         quality.require_passed(report)
     empty = df.limit(0)

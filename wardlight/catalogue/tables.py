@@ -129,7 +129,7 @@ def _(i: Inputs):
     return layers.min_rows_check(i.table("lineitem"), fv.FILE_ROW_FLOOR, "lineitem")
 
 
-PROFILED = ("customer", "orders", "lineitem", "events", "documents", "embeddings")
+PROFILED = adapter.TABLES
 
 
 @query("schema_context", f"""
@@ -255,7 +255,16 @@ def _(i: Inputs):
         "mart_readmission_risk": i.risk, "mart_regional_summary": i.regions})
 
 
-NULLABLE = ("provider_id", "overall_rating", "overall_patient_experience_score", "readm_stroke", "state")
+# Every column of the performance table.
+NULLABLE = """provider_id hospital_name address city state zip_code hospital_type hospital_ownership overall_rating urban_rural
+    readm_heart_failure readm_pneumonia readm_hip_knee readm_copd readm_stroke readm_heart_attack avg_readmission_score
+    hf_compared_to_national pn_compared_to_national copd_compared_to_national ami_compared_to_national
+    overall_patient_experience_score nurse_communication_score doctor_communication_score recommendation_score
+    cleanliness_score ed_throughput_score door_to_ct_score sepsis_care_score avg_timely_care_score year
+    readmission_performance_score timely_care_score_0_100 composite_quality_score readmission_risk_score diabetes_prevalence
+    obesity_prevalence smoking_prevalence poor_mental_health_days no_health_insurance_rate physical_inactivity_rate
+    community_health_burden_score burden_tertile risk_context_label readmission_pct_rank quality_pct_rank
+    readmission_risk_label quality_tier""".split()
 
 
 @query("null_counts", " UNION ALL ".join(

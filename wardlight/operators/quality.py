@@ -75,13 +75,14 @@ def require_passed(report: DataFrame) -> None:
         raise RuntimeError(f"critical data quality checks failed: {failed}")
 
 
-def performance_gate(mart: DataFrame, floor: int = fv.MART_ROW_FLOOR) -> DataFrame:
-    """Gates of the performance table: rows, unknown scores, dominance of one label."""
-    return run_checks([
+def performance_gate(mart: DataFrame, floor: int = fv.MART_ROW_FLOOR, models: dict[str, str] | None = None) -> DataFrame:
+    """Gates of the performance table: rows, unknown scores, dominance of one label; and that stored models are there."""
+    checks = [
         check_min_rows(mart, floor),
         check_null_rate(mart, "composite_quality_score"),
         check_max_share(mart, "readmission_risk_label"),
-    ])
+    ]
+    return run_checks([*checks, check_paths_exist(mart.sparkSession, models)] if models else checks)
 
 
 def schema_tests(staged: dict[str, DataFrame]) -> DataFrame:
