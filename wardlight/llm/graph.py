@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from wardlight.llm.common import stage
 
 MOST_ROUNDS = 60
+#: Most hubs that a node is tried against, and how many nodes a node's bucket holds on average before a further one is.
+HUBS, MANY = 5, 20
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -50,21 +52,34 @@ def components(links: DataFrame) -> DataFrame:
 def linked(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, root) of the nodes that verified links join, of all pairs that share a bucket (`key`, `node`).
 
-    `verified` keeps the true links of a table of pairs (a, b). First every node is tried against the smallest node
-    of each of its buckets. What that joins needs no more trying: then only pairs of one bucket that still lie in
-    different components are tried. So every pair is either tried or already joined, and a bucket of many alike nodes
-    costs about one try for each instead of one for each pair.
+    `verified` keeps the true links of a table of pairs (a, b). First every node is tried against one hub of each of its
+    buckets. What that joins needs no more trying: then only pairs of one bucket that still lie in different components
+    are tried. While those are many more than the nodes in question, other hubs are tried before. So every pair is
+    either tried or already joined, and a bucket of many alike nodes costs a few tries for each node instead of one for
+    each pair.
     """
-    shared = stage(buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-                   .where("hub <> top").select("key", "hub"), "shared-buckets")
-    members = stage(buckets.join(shared, "key"), "bucket-members")
-    first = stage(verified(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "hub-links")
-    roots = stage(components(first), "roots")
-    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    open_ = stage(placed.join(split, "key").distinct(), "open-buckets")
+    shared = stage(buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                   .where("low <> high").select("key"), "shared-buckets")
+    members = stage(buckets.join(shared, "key").distinct(), "bucket-members")
+    links = members.sparkSession.createDataFrame([], members.select(F.col("node").alias("a"), F.col("node").alias("b")).schema)
+    placed = members.withColumn("root", F.col("node"))
+    for number in range(HUBS):
+        chosen = F.min_by(F.struct("node", "root"), F.struct(F.xxhash64("node", F.lit(number)), "node"))
+        hubs = placed.groupBy("key").agg(chosen.alias("hub")).select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))
+        tried = placed.join(hubs, "key").where("root <> hub_root").select(
+            F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        links = stage(links.union(verified(tried).select("a", "b")).distinct(), "hub-links")
+        roots = stage(components(links), "roots")
+        placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        sizes = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        open_ = stage(placed.join(sizes.select("key", "n"), "key"), "open-buckets")
+        nodes, pairs = open_.agg(F.count("*"), F.sum("n")).first()
+        if (pairs or 0) <= MANY * nodes:
+            break
+        placed = open_.select("key", "node", "root")
     a, b = (open_.select("key", F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "ab")
-    rest = stage(verified(a.join(b, "key").where("root_a < root_b").select("a", "b").distinct()), "other-links")
+    rest = stage(verified(a.join(b, "key").where("root_a < root_b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "other-links")
     if rest.isEmpty():
         return roots
-    return components(first.select("a", "b").union(rest.select("a", "b")))
+    return components(links.union(rest.select("a", "b")))
