@@ -219,3 +219,22 @@ def test_line_groups(spark):
         t = next(t for i, t, _ in rows if i == r.doc_id)
         assert r.text == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (null(r.doc_id), n) not in gone))
     assert line_dedup.line_groups(table.limit(0)).count() == 0
+
+
+def test_line_links(spark):
+    """Lines are removed for a match before them, not for a chain of matches; all links are counted, also at a hot word."""
+    words = [f"c{k}" for k in range(12)]
+    drift = [" ".join([f"d{j}" for j in range(k)] + words[k:]) for k in range(3)]  # 0~1, 1~2; 0 and 2 share 10 of 14
+    family = [" ".join([f"e{j}" for j in range(20)] + [f"f{k}"]) for k in range(30)]
+    texts = [drift[0], drift[2], drift[1], "alone", *family]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    sets = [frozenset(t.split()) for t in texts]
+    alike = [[i for i in range(len(texts)) if i != k and 10 * len(sets[i] & sets[k]) >= 8 * len(sets[i] | sets[k])] for k in range(len(texts))]
+    assert [len(a) for a in alike] == [1, 1, 2, 0] + [29] * 30
+    for part_entries in (line_dedup.PART_ENTRIES, 7):
+        out = {r.doc_id: r for r in line_dedup.line_groups(table, part_entries=part_entries).collect()}
+        assert [out[k].links for k in range(len(texts))] == [len(a) for a in alike]
+        assert [out[k].match_doc for k in range(len(texts))] == [min([k, *a]) for k, a in enumerate(alike)]
+        assert [k for k in range(len(texts)) if out[k].removed] == [2, *range(5, 34)]
+        assert [out[k].group_doc for k in range(5)] == [0, 0, 0, 3, 4]
+    assert line_dedup.dedup_lines(table).where("doc_id = 1").first().text == drift[2]

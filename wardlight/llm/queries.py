@@ -132,7 +132,7 @@ WHERE e.slot >= 0 AND e.i = b.i AND e.before[b.i] = b.block % b.w
 """
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Group of every line of every document, and whether it is removed as a later one."""
+    """Group and links of every line of every document, and whether it is removed for a match before it."""
     return line_dedup.line_groups(read(spark, folder, "documents"))
 
 
