@@ -1,8 +1,10 @@
 """Secrets, token shards, quality rules and decontamination against plain versions of what they compute."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -66,6 +68,34 @@ def test_layers_end():
     assert secrets.scan(base64.b64encode(b"\x1f\x8b broken").decode())[1] == []
 
 
+def _b64(data):
+    return "b " + base64.b64encode(data).decode() + " e"
+
+
+@pytest.mark.parametrize("data", [
+    gzip.compress(zlib.compress(SECRET.encode())),
+    bz2.compress(lzma.compress(gzip.compress(zlib.compress(SECRET.encode())))),
+    gzip.compress(b"first") + gzip.compress(SECRET.encode()),
+    bz2.compress(b"first") + bz2.compress(bz2.compress(SECRET.encode())),
+    gzip.compress(SECRET[:12].encode()) + gzip.compress(SECRET[12:].encode()),
+    gzip.compress(b"first") + b" behind: " + SECRET.encode(),
+    b"\xff\x00\xfe " + SECRET.encode() + b"\x00\xff",
+    gzip.compress(b"\xff\x00\xfe " + SECRET.encode()),
+])
+def test_bytes_to_the_end(data):
+    base, spans, layers, cut = secrets.scan(_b64(data))
+    assert not base and {k for _, k, _ in spans} == {0} and not cut
+
+
+@pytest.mark.parametrize("text,cut", [
+    (b", " * 5000 + SECRET.encode(), 0), (b"Q" * 10_000 + b" " + SECRET.encode() + b"Q" * 10_000, 1), (b"token " + b" " * 10_000 + b"= ABCDEFGHIJKL", 0)])
+def test_large_layers(monkeypatch, text, cut):
+    monkeypatch.setattr(secrets, "PIECE_BYTES", 1000)
+    monkeypatch.setattr(secrets, "LAYER_BYTES", 4000)
+    found = secrets.scan(_b64(gzip.compress(gzip.compress(text))))
+    assert {k for _, k, _ in found[1]} == {0} and (found[3] > 0) == cut
+
+
 def test_secret_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (2, "", "b"), (3, SECRET, "c"), (None, "é" * 5 + SECRET, "d")]
     out = {(r.doc_id, r.spans): r for r in secrets.secrets(docs(spark, rows, "doc_id bigint, text string, spans string")).collect()}

@@ -3,8 +3,10 @@
 The whole text is the first layer. Every layer is searched for secrets, then unwrapped: percent escapes and Unicode
 escapes over the whole layer, and each run of base64, whose bytes may be compressed text. What comes out is a new layer
 with the place of each of its characters in the original text, so that whatever is found in it has a span there. Layers
-go on the worklist until none is left; one that came before from the same place is not taken again, which also ends
-archives that unpack to themselves. Texts are searched one by one, without a shuffle.
+go on the worklist until none is left; one that came before from the same place is not taken again. Bytes are unpacked
+until nothing new comes out, over all members, which also ends archives that unpack to themselves; what they unpack to
+is searched piece by piece, whatever its size. Bytes that are no readable UTF-8 are searched as Latin-1. Texts are
+searched one by one, without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,17 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{4,})*={0,2}")
 PIECE = re.compile(r"[A-Za-z0-9]{16,}={0,2}")
-#: Most bytes that one compressed layer may unpack to; a longer one is cut there and counted in `cut_layers`.
-LAYER_BYTES = 64 << 20
+#: What is unpacked at a time, and most bytes of a layer that are held at once.
+PIECE_BYTES, LAYER_BYTES = 1 << 20, 64 << 20
+#: Bytes that any pattern or encoding here can hold; unpacked data may be parted behind all others.
+HELD = np.zeros(256, bool)
+HELD[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-\"': \r\n%\\{}&#;")] = True
+#: A stretch of `LAYER_BYTES` without such a place is searched in parts that overlap by so much, and counted in `cut_layers`:
+#: only an encoded run of that length inside compressed data is not decoded as a whole.
+OVERLAP = 1 << 10
+#: Any secret, as it stands or encoded, has so many characters in a row.
+PRINTABLE = re.compile(rb"[\x20-\x7e\r\n]{16}")
+BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError)
 
 FOUND = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string,n_layers:bigint,cut_layers:bigint>"
 
@@ -139,23 +151,96 @@ def _escape(run: str):
     return out
 
 
-def unpacked(data: bytes) -> tuple[bytes, bool] | None:
-    """Decompressed gzip, zlib, bzip2 or xz data of at most `LAYER_BYTES`, and whether it was cut; None for other data."""
+def _tool(data: bytes):
+    """A new decompressor for gzip, zlib, bzip2 or xz data; None for other data."""
     if data[:2] == b"\x1f\x8b":
-        tool = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
-        tool = zlib.decompressobj(15)
-    elif data[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = tool.decompress(data, LAYER_BYTES)
-        return out, not tool.eof and len(out) >= LAYER_BYTES
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError):
-        return None
+        return zlib.decompressobj(31)
+    if len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def unpacked(source: Iterator[bytes]) -> Iterator[tuple[int, bytes]]:
+    """Number of the member and bytes, piece by piece; none if the source is not compressed.
+
+    Bytes behind the last member are a member as they stand. A broken member ends with what could be read of it.
+    """
+    rest, member = b"", 0
+    while True:
+        while len(rest) < 6 and (more := next(source, None)) is not None:
+            rest += more
+        tool = _tool(rest)
+        if tool is None:
+            if member and rest:
+                yield member, rest
+                yield from ((member, piece) for piece in source)
+            return
+        while not tool.eof:
+            try:
+                out = tool.decompress(rest, PIECE_BYTES)
+            except BROKEN:
+                return
+            rest = getattr(tool, "unconsumed_tail", b"")
+            if out:
+                yield member, out
+            elif not tool.eof and not rest:
+                rest = next(source, b"")
+                if not rest:
+                    return
+        rest, member = tool.unused_data, member + 1
+
+
+def _opened(data: bytes, path: tuple[int | None, ...]) -> Iterator[bytes]:
+    """What `data` unpacks to in as many steps as the path has; each takes one member, or all with None."""
+    def taken(pieces: Iterator[tuple[int, bytes]], which: int | None) -> Iterator[bytes]:
+        return (piece for member, piece in pieces if which is None or member == which)
+    pieces = iter([data])
+    for which in path:
+        pieces = taken(unpacked(pieces), which)
+    return pieces
+
+
+def contents(data: bytes) -> Iterator[tuple[str, bool]]:
+    """All that `data` unpacks to, and all that this unpacks to, in parts as Latin-1; and whether a part is cut off."""
+    todo, known = deque([(data, ())]), {hashlib.sha256(data).digest()}
+    while todo:
+        origin, path = todo.popleft()
+        mark, small, size, at, head, packed = hashlib.sha256(), [], 0, None, b"", []
+        held: list[bytes] = []
+        for member, piece in unpacked(_opened(origin, path)):
+            mark.update(piece)
+            size += len(piece)
+            if size > LAYER_BYTES:
+                small = None
+            else:
+                small.append(piece)
+            if member != at:
+                packed += [at] if at is not None and _tool(head) is not None else []
+                at, head = member, b""
+            head += piece[:6 - len(head)] if len(head) < 6 else b""
+            places = np.flatnonzero(~HELD[np.frombuffer(piece, np.uint8)])
+            if len(places):
+                yield (b"".join(held) + piece[:places[-1] + 1]).decode("latin-1"), False
+                piece, held = piece[places[-1] + 1:], []
+            held.append(piece)
+            if sum(map(len, held)) > LAYER_BYTES:
+                part = re.sub(b" +", b" ", b"".join(held))  # any number of spaces matches like one
+                held = [part]
+                if len(part) > LAYER_BYTES // 2:
+                    yield part.decode("latin-1"), True
+                    held = [part[-OVERLAP:]]
+        if any(held):
+            yield b"".join(held).decode("latin-1"), False
+        if size and mark.digest() not in known:
+            known.add(mark.digest())
+            packed += [at] if _tool(head) is not None else []
+            if 0 in packed:
+                todo.append((origin, (*path, None)) if small is None else (b"".join(small), ()))
+            todo += [(origin, (*path, member)) for member in packed if member]
 
 
 def _readable(data: bytes) -> str | None:
@@ -170,22 +255,31 @@ def _readable(data: bytes) -> str | None:
 def _base64(layer: Layer) -> Iterator[tuple[Layer, bool]]:
     """The layers in runs of base64; a run that is none as a whole may have one behind a slash or another such sign."""
     for m in BASE64.finditer(layer.text):
-        inner = _run(layer, m.start(), m[0])
-        if inner is not None:
-            yield inner
-        else:
+        sure, inner = _run(layer, m.start(), m[0])
+        yield from inner
+        if not sure:
             for part in PIECE.finditer(m[0]):
                 if len(part[0]) < len(m[0].rstrip("=")):
-                    inner = _run(layer, m.start() + part.start(), part[0])
-                    if inner is not None:
-                        yield inner
+                    yield from _run(layer, m.start() + part.start(), part[0])[1]
 
 
-def _run(layer: Layer, at: int, run: str) -> tuple[Layer, bool] | None:
-    """Readable text with the place of each character, or unpacked text with the place of the whole run."""
+def _run(layer: Layer, at: int, run: str) -> tuple[bool, Iterator[tuple[Layer, bool]]]:
+    """Readable text with the place of each character, or unpacked text with the place of the whole run; if there is
+    neither, False and the bytes as Latin-1."""
     end, run = at + len(run), run.rstrip("=")
     places = np.array([i for i, c in enumerate(run) if c not in "\r\n"]) + at if "\n" in run else np.arange(at, at + len(run))
     chars = run.replace("\r", "").replace("\n", "").replace("-", "+").replace("_", "/")
+
+    def placed(text: str, sizes: np.ndarray, skip: int) -> Layer:
+        after = np.cumsum(sizes)
+        begins = places[skip + (after - sizes) * 4 // 3]
+        ends = places[np.minimum(skip + -(-after * 4 // 3), len(places)) - 1] + 1
+        return layer.derived(text, begins, ends)
+
+    def whole(text: str) -> Layer:
+        first, last = layer.span(at, end)
+        return Layer(text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(last), len(text)))
+    others = []
     for skip in range(4):
         own = chars[skip:]
         own = own[:-1] if len(own) % 4 == 1 else own
@@ -195,45 +289,49 @@ def _run(layer: Layer, at: int, run: str) -> tuple[Layer, bool] | None:
             data = base64.b64decode(own + "=" * (-len(own) % 4))
         except binascii.Error:
             continue
-        packed = unpacked(data)
-        if packed is not None:
-            text = _readable(packed[0]) or packed[0].decode("utf-8", "ignore")
-            return (layer.derived(text, np.full(len(text), at), np.full(len(text), end)), packed[1]) if text else None
+        if _tool(data) is not None:
+            inner = contents(data)
+            first = next(inner, None)
+            if first is not None:
+                return True, ((whole(text), cut) for text, cut in chain([first], inner))
         text = _readable(data)
         if text is not None:
             sizes = np.ones(len(text), np.int64) if text.isascii() else np.array([len(c.encode()) for c in text])
-            after = np.cumsum(sizes)
-            begins = places[skip + (after - sizes) * 4 // 3]
-            ends = places[np.minimum(skip + -(-after * 4 // 3), len(places)) - 1] + 1
-            return layer.derived(text, begins, ends), False
-    return None
+            return True, iter([(placed(text, sizes, skip), False)])
+        if PRINTABLE.search(data):
+            others.append((data.decode("latin-1"), skip))
+    return False, ((placed(text, np.ones(len(text), np.int64), skip), False) for text, skip in others)
+
+
+def _inner(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
+    """The layers one step inside a layer, and whether each is cut off."""
+    if "%" in layer.text:
+        yield _replaced(layer, PERCENT, _percent), False
+    if "\\" in layer.text or "&#" in layer.text:
+        yield _replaced(layer, ESCAPE, _escape), False
+    yield from _base64(layer)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
     """Base spans, all spans, how many layers were searched, and how many were cut; spans as (start, kind, end)."""
     base = find(text)
-    spans, seen, layers, cut = set(base), set(), 0, 0
-    work = deque([Layer(text)])
+    spans, seen, layers, cut = set(base), set(), 1, 0
+    # a layer's inner ones are made one at a time, and searched before the next
+    work = [_inner(Layer(text))]
     while work:
-        layer = work.popleft()
-        layers += 1
-        if layer.first is not None:
-            for start, kind, end in find(layer.text):
-                a, b = layer.span(start, end)
-                spans.add((a, kind, b))
-        found = []
-        if "%" in layer.text:
-            found.append((_replaced(layer, PERCENT, _percent), False))
-        if "\\" in layer.text or "&#" in layer.text:
-            found.append((_replaced(layer, ESCAPE, _escape), False))
-        found += _base64(layer)
-        for inner, short in found:
-            if inner is not None and inner.text:
-                mark = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), *inner.span(0, len(inner.text))
-                if mark not in seen:
-                    seen.add(mark)
-                    work.append(inner)
-                    cut += short
+        inner, short = next(work[-1], (None, None))
+        if short is None:
+            work.pop()
+        elif inner is not None and inner.text:
+            cut += short
+            mark = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), *inner.span(0, len(inner.text))
+            if mark not in seen:
+                seen.add(mark)
+                layers += 1
+                for start, kind, end in find(inner.text):
+                    a, b = inner.span(start, end)
+                    spans.add((a, kind, b))
+                work.append(_inner(inner))
     return base, sorted(spans), layers, cut
 
 
