@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, html_text, line_dedup, mixing, quality_rules, secrets, simhash, tokens, url_rules, warc
+from wardlight.llm import decontaminate, html_text, line_dedup, merkle, mixing, quality_rules, secrets, simhash, tokens, url_rules, warc
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -136,6 +136,59 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_groups(read(spark, folder, "documents"))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether what is there now still leads to the root."""
+    found = merkle.verified(merkle.manifest(read(spark, folder, "documents")))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+                        "folded_root", "verified")
+
+
+def _path_sql(name: str, first: str, tree: str, match: str) -> str:
+    """Siblings on the way up a tree of lists, and what the changed leaf leads to, level by level."""
+    return f"""
+{name} AS (
+  {first}
+  UNION ALL
+  SELECT w.doc_id, w.source, w.level + 1, w.place // 3, w.proof || b.before || b.after, sha256(b.before || w.folded || b.after), w.leaf
+  FROM {name} w JOIN {tree} t ON {match} AND t.level = w.level AND len(t.nodes) > 1,
+  LATERAL (SELECT array_to_string(t.nodes[w.place // 3 * 3 + 1 : w.place], '') AS before,
+                  array_to_string(t.nodes[w.place + 2 : w.place // 3 * 3 + 3], '') AS after) b)"""
+
+
+_UP = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1 : i + 3], '')))"
+_FIELD = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+OP13_SQL = f"""
+WITH RECURSIVE
+named AS (
+  SELECT *, {' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} AS head,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) & 1 AS odd
+  FROM documents),
+hashed AS (
+  SELECT doc_id, source, sha256(head || {_FIELD.format('text')}) AS leaf,
+    sha256(head || {_FIELD.format("CASE WHEN odd = 1 THEN replace(text, chr(10), '') ELSE text END")}) AS leaf_now
+  FROM named),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place FROM hashed),
+tree AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+  UNION ALL SELECT source, level + 1, {_UP} FROM tree WHERE len(nodes) > 1),
+subroots AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM tree WHERE len(nodes) = 1),
+top AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL SELECT level + 1, {_UP} FROM top WHERE len(nodes) > 1),
+{_path_sql('walk', "SELECT doc_id, source, 0 AS level, place, '' AS proof, leaf_now AS folded, leaf FROM placed", 'tree',
+           't.source IS NOT DISTINCT FROM w.source')},
+below AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1),
+{_path_sql('onwards', "SELECT b.doc_id, b.source, 0 AS level, s.place, b.proof, b.folded, b.leaf FROM below b JOIN subroots s ON "
+           "b.source IS NOT DISTINCT FROM s.source", 'top', 'true')},
+above AS (SELECT * FROM onwards QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1)
+SELECT a.doc_id, a.leaf, s.subroot, t.nodes[1] AS root, sha256(a.proof) AS proof_sha256, a.folded AS folded_root,
+  a.folded = t.nodes[1] AS verified
+FROM above a JOIN subroots s ON a.source IS NOT DISTINCT FROM s.source JOIN top t ON len(t.nodes) = 1
+"""
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_token_ids": op2_token_ids,
@@ -147,10 +200,12 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE_SQL = {
     "op3_url_rules": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op9_mixing": OP9_SQL,
+    "op13_merkle": OP13_SQL,
 }
