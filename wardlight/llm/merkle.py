@@ -138,6 +138,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     others = [F.col(c) for c in COLUMNS[:-1]]
     hashed = named.select("doc_id", "source", leaf([*others, F.col("text")]).alias("digest"),
                           leaf([*others, tampered(F.col("doc_id"), F.col("text"))]).alias("leaf_now"))
+    hashed = stage(hashed, "leaf-digests")  # ranges are sampled first: else texts are read twice
     leaves = stage(ranked(hashed, "source", "doc_id", "digest"), "leaves")
     tree = levels(leaves, "source")
     tops = roots(tree, "source").select(F.lit(0).alias("all"), "source", F.col("root").alias("digest"))

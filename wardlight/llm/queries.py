@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, html_text, line_dedup, merkle, mixing, quality_rules, secrets, simhash, tokens, url_rules, warc
+from wardlight.llm import (decontaminate, embedding_dedup, html_text, line_dedup, merkle, mixing, periodic, quality_rules, secrets,
+                           simhash, tokens, url_rules, warc)
 from wardlight.llm.common import read
 from wardlight.workspace import stage_path
 
@@ -136,6 +137,26 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_groups(read(spark, folder, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of every vector with others of its label, and its component."""
+    return embedding_dedup.near_duplicates(read(spark, folder, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, one in ten of which goes round in a circle from some word on."""
+    return periodic.report(periodic.runs(read(spark, folder, "documents"), cycle=True))
+
+
+OP11_SQL = """
+WITH RECURSIVE pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a)
+SELECT r.a AS vec_id, (SELECT count(*) FROM pairs p WHERE p.a = r.a) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM reach r GROUP BY r.a
+"""
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether what is there now still leads to the root."""
     found = merkle.verified(merkle.manifest(read(spark, folder, "documents")))
@@ -200,6 +221,8 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle": op13_merkle,
 }
 
@@ -207,5 +230,6 @@ ORACLE_SQL = {
     "op3_url_rules": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_embedding_dedup": OP11_SQL,
     "op13_merkle": OP13_SQL,
 }
