@@ -119,7 +119,7 @@ def test_searches(spark):
 
 def test_exact_mean(spark):
     df = spark.createDataFrame([(-1.5,), (2.25,), (None,), (-7.1,)], "x double")
-    assert df.agg(mean(F.col("x"))).first()[0] == round((-1.5 + 2.25 - 7.1) / 3, 9)
+    assert df.agg(mean(F.col("x"))).first()[0] == (-1.5 + 2.25 - 7.1) / 3
     big = spark.createDataFrame([(2e10,), (1.0,)], "x double")
     assert big.agg(mean(F.col("x"))).first()[0] == pytest.approx((2e10 + 1) / 2)
     assert df.where("x > 100").agg(mean(F.col("x"))).first()[0] is None

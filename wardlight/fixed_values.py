@@ -227,11 +227,16 @@ TEST_SHARE = 0.2
 FOLDS = 5
 EXPLAIN_ROWS = 5000
 CLASSIFIER_GRID = {
-    "maxDepth": [3, 5, 7], "maxIter": [100, 200], "stepSize": [0.05, 0.1], "subsamplingRate": [0.8, 1.0],
+    "max_depth": [3, 5, 7],
+    "n_estimators": [100, 200],
+    "learning_rate": [0.05, 0.1],
+    "subsample": [0.8, 1.0],
 }
-# leaves 31 / 50 / 70 of a leaf-wise tree correspond to depths 5 / 6 / 7 here
 REGRESSOR_GRID = {
-    "maxDepth": [5, 6, 7], "stepSize": [0.05, 0.1], "maxIter": [100, 200], "minInstancesPerNode": [20, 30],
+    "num_leaves": [31, 50, 70],
+    "learning_rate": [0.05, 0.1],
+    "n_estimators": [100, 200],
+    "min_child_samples": [20, 30],
 }
 
 # --- fixed values: sentence of an explanation -------------------------------

@@ -1,34 +1,31 @@
-"""Boosted trees on Spark ML: one binary model per class, one regressor, grid search."""
+"""Boosted models of a class or a number, tuned over a grid with folds."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
-from multiprocessing.pool import ThreadPool
-
-from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from wardlight import fixed_values as fv
 from wardlight.functions.columns import encode
-from wardlight.ml.metrics import MacroF1Evaluator
+from wardlight.functions.exact import mean
+from wardlight.ml.boosting import BINS, Settings, Tree, fit_rows, fit_table
 from wardlight.ml.split import with_folds
 from wardlight.operators.joins import join_dim
 from wardlight.operators.ranking import positions_of_counts
+from wardlight.workspace import stage
 
-VECTOR = "_features"
-
+#: Tables of up to so many rows are handed whole to the tasks that fit; larger ones stay in Spark. The trees are the same.
+TASK_ROWS = 200_000
+_SCORED_ROWS = 1024
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error").transform(df)
+NODES = ("round int, tree int, node int, feature int, threshold double, left int, right int, value double, rows bigint")
 
 
 def label_index(df: DataFrame, c: str, out: str) -> DataFrame:
@@ -39,157 +36,293 @@ def label_index(df: DataFrame, c: str, out: str) -> DataFrame:
 
 
 def class_labels(df: DataFrame, c: str) -> list[str]:
-    """The classes of a target in alphabetical order; a model is fitted for each, so they are few."""
+    """The classes of a target in alphabetical order; a round grows a tree for each, so they are few."""
     return sorted(r[0] for r in df.select(c).dropna().distinct().collect())
 
 
-class ClassModels(Model):
-    """One boosted model per class; the class of the highest share wins."""
-
-    def __init__(self, labels: Sequence[str], features: Sequence[str], models: Sequence[GBTClassificationModel]):
-        super().__init__()
-        self.labels, self.features, self.models = list(labels), list(features), list(models)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        keep = dataset.columns
-        out = dataset if VECTOR in keep else assemble(dataset, self.features)
-        shares = []
-        for i, model in enumerate(self.models):
-            m = model.copy().setFeaturesCol(VECTOR).setPredictionCol(f"_p{i}").setProbabilityCol(f"_s{i}") \
-                .setRawPredictionCol(f"_r{i}")
-            out = m.transform(out)
-            shares.append(F.element_at(vector_to_array(F.col(f"_s{i}")), 2))
-        total = sum(shares[1:], shares[0])
-        out = out.withColumn("probabilities", F.array(*[F.try_divide(s, total) for s in shares]))
-        best = F.array_position("probabilities", F.array_max("probabilities")).cast("int")
-        return out.select(*keep, "probabilities", (best - 1).alias("predicted_index"),
-                          F.element_at(F.lit(self.labels), best).alias("predicted_label"))
+def _vector(features: Sequence[str]) -> Column:
+    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in features])
+
+
+class Model:
+    """An ensemble as a table of nodes, a row of which leads to its children by `value of feature <= threshold`.
+
+    Nodes of a tree are numbered from 0, its root; -1 as feature is a leaf. NULL and NaN count as above every threshold.
+    """
+
+    def __init__(self, features: Sequence[str], base: Sequence[float], nodes: pa.Table, labels: Sequence[str] | None = None):
+        self.features, self.base, self.labels = list(features), [float(b) for b in base], None if labels is None else list(labels)
+        self.nodes = nodes.sort_by([("round", "ascending"), ("tree", "ascending"), ("node", "ascending")])
+        column = lambda c: np.asarray(self.nodes[c].combine_chunks())
+        self.roots = np.flatnonzero(column("node") == 0)
+        sizes = np.diff(np.append(self.roots, len(nodes)))
+        start = np.repeat(self.roots, sizes)
+        self.tree_class = column("tree")[self.roots]
+        self.feature, self.threshold, self.value, self.rows = (column(c) for c in ("feature", "threshold", "value", "rows"))
+        self.left, self.right = column("left") + start, column("right") + start
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """Sum of leaf values for each row and class (one column for a number)."""
+        out = np.tile(self.base, (len(x), 1))
+        for k in range(0, len(x), _SCORED_ROWS):
+            part = x[k:k + _SCORED_ROWS]
+            node = np.tile(self.roots, (len(part), 1))
+            while (inner := self.feature[node] >= 0).any():
+                value = np.take_along_axis(part, np.maximum(self.feature[node], 0), axis=1)
+                node = np.where(inner, np.where(value <= self.threshold[node], self.left[node], self.right[node]), node)
+            for c in range(len(self.base)):
+                out[k:k + _SCORED_ROWS, c] += self.value[node[:, self.tree_class == c]].sum(axis=1)
+        return out
+
+    def margin_column(self) -> Column:
+        """The margins of a row, from its features."""
+        width = len(self.features)
+
+        @F.arrow_udf("array<double>")
+        def of(x: pa.Array) -> pa.Array:
+            found = self.margins(np.asarray(x.flatten()).reshape(-1, width))
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel()))
+        return of(_vector(self.features))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds `predicted_quality`, or `probabilities`, `predicted_index` and `predicted_label`; ties go to the first class."""
+        if self.labels is None:
+            return df.withColumn("predicted_quality", self.margin_column()[0])
+        top = F.array_max("_margins")
+        grown = df.withColumn("_margins", self.margin_column()).withColumn(
+            "_grown", F.transform("_margins", lambda m: F.exp(m - top)))
+        total = F.aggregate("_grown", F.lit(0.0), lambda a, b: a + b)
+        shares = F.transform("_grown", lambda e: e / total)
+        best = F.array_position("_margins", top).cast("int")
+        return grown.select(*df.columns, shares.alias("probabilities"), (best - 1).alias("predicted_index"),
+                            F.element_at(F.lit(self.labels), best).alias("predicted_label"))
 
     def save(self, spark: SparkSession, path: str) -> None:
-        for i, model in enumerate(self.models):
-            model.write().overwrite().save(f"{path}/class-{i}")
-        _write_meta(spark, path, {"labels": self.labels, "features": self.features})
+        spark.createDataFrame(self.nodes.to_pandas(), NODES).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+        meta = json.dumps({"features": self.features, "base": self.base, "labels": self.labels})
+        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> "ClassModels":
-        meta = _read_meta(spark, path)
-        models = [GBTClassificationModel.load(f"{path}/class-{i}") for i in range(len(meta["labels"]))]
-        return ClassModels(meta["labels"], meta["features"], models)
+    def load(spark: SparkSession, path: str) -> "Model":
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        return Model(meta["features"], meta["base"], spark.read.schema(NODES).parquet(f"{path}/nodes").toArrow(), meta["labels"])
+
+
+@dataclass
+class Fitted:
+    """A model, the settings chosen, their mean score over the folds, and the scores of all settings tried."""
+    model: Model
+    best: dict = field(default_factory=dict)
+    score: float | None = None
+    scores: list[tuple[dict, float]] = field(default_factory=list)
+
+
+@dataclass
+class Prepared:
+    """Binned rows (codes, target, mark, fold), the upper ends of the bins, and how a target became `target`."""
+    table: DataFrame
+    edges: list[np.ndarray]
+    classes: int
+    base: float = 0.0
+    scale: float = 1.0
 
 
-class ClassBooster(Estimator):
-    """Fits `gbt` once per class against the other classes."""
+def bin_edges(df: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
+    """Upper ends of the bins of each feature but the last: distinct approximate quantiles, at most `BINS` - 1."""
+    ends = [k / BINS for k in range(1, BINS)]
+    return [np.unique(np.array(q, float)) for q in df.select(*[F.col(c).cast("double") for c in features])
+            .approxQuantile(list(features), ends, 1 / (8 * BINS))]
+
 
-    def __init__(self, gbt: GBTClassifier, labels: Sequence[str], features: Sequence[str], target: str):
-        super().__init__()
-        self.gbt, self.labels, self.features, self.target = gbt, labels, features, target
+def binned(edges: Sequence[np.ndarray]):
+    @F.arrow_udf("array<int>")
+    def of(x: pa.Array) -> pa.Array:
+        values = np.asarray(x.flatten()).reshape(-1, len(edges))
+        codes = np.stack([np.searchsorted(e, values[:, k]) for k, e in enumerate(edges)], axis=1).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1, dtype=np.int32) * len(edges)), pa.array(codes.ravel()))
+    return of
 
-    def copy(self, extra=None) -> "ClassBooster":
-        return ClassBooster(self.gbt.copy(extra), self.labels, self.features, self.target)
 
-    def _fit(self, dataset: DataFrame) -> ClassModels:
-        rows = dataset if VECTOR in dataset.columns else assemble(dataset, self.features)
-        models = []
-        for i in range(len(self.labels)):
-            one = rows.select(VECTOR, (F.col(self.target) == i).cast("double").alias("_y"))
-            models.append(self.gbt.copy({self.gbt.featuresCol: VECTOR, self.gbt.labelCol: "_y"}).fit(one))
-        return ClassModels(self.labels, self.features, models)
+def prepare(df: DataFrame, features: Sequence[str], key: str, target: Column, classes: int, fold: Column | None = None) -> Prepared:
+    edges, base, scale = bin_edges(df, features), 0.0, 1.0
+    if not classes:
+        base = df.agg(mean(target)).first()[0] or 0.0
+        scale = df.agg(F.max(F.abs(target - base))).first()[0] or 1.0
+        target = (target - base) / scale
+    rows = df.select(binned(edges)(_vector(features)).alias("codes"), target.cast("double").alias("target"),
+                     F.xxhash64(F.col(key).cast("string")).alias("mark"), (F.lit(-1) if fold is None else fold).cast("int").alias("fold"))
+    return Prepared(stage(rows.where("target is not null"), "training-rows"), edges, classes, base, scale)
 
 
-class RegressionModel(Model):
-    def __init__(self, features: Sequence[str], model: GBTRegressionModel):
-        super().__init__()
-        self.features, self.model = list(features), model
+# ---- fits ------------------------------------------------------------------
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        rows = dataset if VECTOR in dataset.columns else assemble(dataset, self.features)
-        scored = self.model.copy().setFeaturesCol(VECTOR).setPredictionCol("predicted_quality").transform(rows)
-        return scored.select(*dataset.columns, "predicted_quality")
+def _f1(truth: np.ndarray, guess: np.ndarray) -> float:
+    """Unweighted mean of the F1 of all classes that occur."""
+    return float(np.mean([2 * ((truth == c) & (guess == c)).sum() / ((truth == c).sum() + (guess == c).sum())
+                          for c in np.union1d(truth, guess)]))
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
-        _write_meta(spark, path, {"features": self.features})
 
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> "RegressionModel":
-        return RegressionModel(_read_meta(spark, path)["features"], GBTRegressionModel.load(f"{path}/model"))
+def _score(margins: np.ndarray, target: np.ndarray, classes: int) -> float:
+    return _f1(target, margins.argmax(axis=1)) if classes else -float(np.sqrt(np.mean((margins[:, 0] - target) ** 2)))
+
+
+def _trials(codes: np.ndarray, target: np.ndarray, mark: np.ndarray, fold: np.ndarray, s: Settings, held: int,
+            prefixes: Sequence[int]) -> Iterator[tuple[int, float]]:
+    """(rounds, score on the fold held out) of one fit, at each of `prefixes`."""
+    train, test = fold != held, fold == held
+    shift = 0.0 if s.classes else float(target[train].mean())
+    margins = np.full((int(test.sum()), max(s.classes, 1)), shift)
+    for number, trees in enumerate(fit_rows(codes[train], target[train] - shift, mark[train], s), 1):
+        for c, tree in enumerate(trees):
+            margins[:, c] += tree.value[tree.leaf_of(codes[test])]
+        if number in prefixes:
+            yield number, _score(margins, target[test], s.classes)
 
 
-class RegressionBooster(Estimator):
-    def __init__(self, gbt: GBTRegressor, features: Sequence[str], target: str):
-        super().__init__()
-        self.gbt, self.features, self.target = gbt, features, target
+def _node_rows(number: int, trees: Sequence[Tree], edges: Sequence[np.ndarray], scale: float) -> list[tuple]:
+    def threshold(f: int, cut: int) -> float:
+        return 0.0 if f < 0 else float(edges[f][cut]) if cut < len(edges[f]) else float("inf")
+    return [(number, c, node, int(f), threshold(f, cut), int(left), int(right), float(value) * scale, int(rows))
+            for c, t in enumerate(trees)
+            for node, (f, cut, left, right, value, rows) in enumerate(zip(t.feature, t.cut, t.left, t.right, t.value, t.rows))]
 
-    def copy(self, extra=None) -> "RegressionBooster":
-        return RegressionBooster(self.gbt.copy(extra), self.features, self.target)
 
-    def _fit(self, dataset: DataFrame) -> RegressionModel:
-        rows = dataset if VECTOR in dataset.columns else assemble(dataset, self.features)
-        rows = rows.select(VECTOR, F.col(self.target).cast("double").alias("_y"))
-        model = self.gbt.copy({self.gbt.featuresCol: VECTOR, self.gbt.labelCol: "_y"}).fit(rows)
-        return RegressionModel(self.features, model)
+def _rows_at_hand(table: DataFrame) -> dict[str, np.ndarray]:
+    """A table of at most `TASK_ROWS` rows as arrays."""
+    found = table.toArrow()
+    arrays = {c: np.asarray(found[c].combine_chunks()) for c in ("target", "mark", "fold")}
+    codes = found["codes"].combine_chunks()
+    return arrays | {"codes": np.asarray(codes.flatten()).reshape(len(codes), -1).astype(np.uint8)}
 
 
-def _write_meta(spark: SparkSession, path: str, meta: dict) -> None:
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+def fit_model(rows: Prepared, s: Settings, features: Sequence[str], labels: Sequence[str] | None = None,
+              task_rows: int = TASK_ROWS) -> Model:
+    """An ensemble on all rows."""
+    spark, edges, scale = rows.table.sparkSession, rows.edges, rows.scale
+    if rows.table.count() <= task_rows:
+        shared = spark.sparkContext.broadcast(_rows_at_hand(rows.table))
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                data = shared.value
+                for number, trees in enumerate(fit_rows(data["codes"], data["target"], data["mark"], s) if batch.num_rows else ()):
+                    columns = zip(*_node_rows(number, trees, edges, scale))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=NODE_NAMES).cast(NODE_TYPES)
+        nodes = spark.range(1).coalesce(1).mapInArrow(run, NODES).toArrow()
+    else:
+        found = [row for number, trees in enumerate(fit_table(rows.table, len(features), s))
+                 for row in _node_rows(number, trees, edges, scale)]
+        nodes = pa.table([pa.array(c) for c in zip(*found)], names=NODE_NAMES).cast(NODE_TYPES)
+    return Model(features, [rows.base] * max(s.classes, 1) if not s.classes else [0.0] * s.classes, nodes, labels)
 
-def _read_meta(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(f"{path}/meta").first()[0])
 
+NODE_NAMES = [c.split()[0] for c in NODES.split(", ")]
+NODE_TYPES = pa.schema([(c.split()[0], {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}[c.split()[1]])
+                        for c in NODES.split(", ")])
 
-def grid_of(gbt, values: Mapping[str, Sequence]) -> list[dict]:
-    builder = ParamGridBuilder()
-    for name, options in values.items():
-        builder = builder.addGrid(gbt.getParam(name), list(options))
-    return builder.build()
 
+def combinations(grid: Mapping[str, Sequence]) -> list[dict]:
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
 
-def tune(estimator: Estimator, data: DataFrame, grid: Sequence[dict], evaluator: Evaluator, fold: str,
-         folds: int, parallelism: int = 2) -> tuple[Model, dict, float]:
-    """Best model (refitted on all rows), its parameters and its mean score over the folds.
 
-    `fold` holds a fold number per row, so membership does not depend on how
-    the data is partitioned. Fits of one fold run `parallelism` at a time.
+def grid_scores(rows: Prepared, s: Settings, grid: Mapping[str, Sequence], folds: int, task_rows: int = TASK_ROWS) -> list[tuple[dict, float]]:
+    """Every combination of the grid with its mean score over the folds (macro F1, or RMSE with a minus).
+
+    Combinations that differ in the number of rounds alone are one fit, scored on the way. Fits of all combinations and
+    folds run side by side, each in a task of its own; beyond `task_rows` rows one after the other, over the table.
     """
-    rows = assemble(data, estimator.features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        totals = [0.0] * len(grid)
-        for k in range(folds):
-            train, held = rows.where(F.col(fold) != k), rows.where(F.col(fold) == k)
-            with ThreadPool(min(parallelism, len(grid))) as pool:
-                run = lambda params: evaluator.evaluate(estimator.fit(train, params).transform(held))
-                for i, score in enumerate(pool.map(run, grid)):
-                    totals[i] += score
-        means = [t / folds for t in totals]
-        pick = max if evaluator.isLargerBetter() else min
-        best = means.index(pick(means))
-        params = {p.name: v for p, v in grid[best].items()}
-        return estimator.fit(rows, grid[best]), params, means[best]
-    finally:
-        rows.unpersist()
+    options = combinations(grid)
+    settings = [replace(s, **o) for o in options]
+    longest: dict[Settings, set[int]] = {}
+    for one in settings:
+        longest.setdefault(replace(one, n_estimators=0), set()).add(one.n_estimators)
+    fits = [(replace(one, n_estimators=max(rounds)), frozenset(rounds), fold) for one, rounds in longest.items() for fold in range(folds)]
+    if rows.table.count() <= task_rows:
+        spark = rows.table.sparkSession
+        shared = spark.sparkContext.broadcast(_rows_at_hand(rows.table))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in batch.column(0).to_pylist():
+                    data, (one, rounds, fold) = shared.value, fits[i]
+                    found = list(_trials(data["codes"], data["target"], data["mark"], data["fold"], one, fold, rounds))
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(found), pa.int64()), pa.array([n for n, _ in found], pa.int32()),
+                                                      pa.array([x for _, x in found], pa.float64())], names=["fit", "rounds", "score"])
+        tried = [tuple(r) for r in spark.range(len(fits)).repartition(len(fits)).mapInArrow(run, "fit bigint, rounds int, score double").collect()]
+    else:
+        tried = [(i, n, x) for i, fit in enumerate(fits) for n, x in _trials_over_table(rows, *fit)]
+    by_fold = {(replace(fits[i][0], n_estimators=n), fits[i][2]): score for i, n, score in tried}
+    return [(o, float(np.mean([by_fold[one, k] for k in range(folds)]))) for o, one in zip(options, settings)]
+
+
+def _trials_over_table(rows: Prepared, s: Settings, prefixes: Sequence[int], held: int) -> Iterator[tuple[int, float]]:
+    """As `_trials`, with rows left in Spark: margins of the fold held out are a stored table."""
+    train, test = rows.table.where(F.col("fold") != held), rows.table.where(F.col("fold") == held)
+    shift = 0.0 if s.classes else train.agg(mean(F.col("target"))).first()[0]
+    features, gathered = len(rows.edges), []
+    for number, trees in enumerate(fit_table(train.withColumn("target", F.col("target") - shift), features, s), 1):
+        gathered.append(trees)
+        if number not in prefixes:
+            continue
+        grown = list(gathered)
+
+        @F.arrow_udf("array<double>")
+        def margins(codes: pa.Array) -> pa.Array:
+            own = np.asarray(codes.flatten()).reshape(-1, features)
+            out = np.full((len(own), max(s.classes, 1)), shift)
+            for trees in grown:
+                for c, tree in enumerate(trees):
+                    out[:, c] += tree.value[tree.leaf_of(own)]
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
+        scored = test.select("target", margins("codes").alias("m"))
+        if s.classes:
+            guess = F.array_position("m", F.array_max("m")).cast("double") - 1
+            cells = scored.groupBy("target", guess.alias("guess")).count().collect()  # classes x classes
+            n = np.zeros((s.classes, s.classes))
+            for t, g, count in cells:
+                n[int(t), int(g)] = count
+            there = n.sum(0) + n.sum(1)
+            yield number, float(np.mean(2 * np.diag(n)[there > 0] / there[there > 0]))
+        else:
+            yield number, -float(np.sqrt(scored.agg(F.avg((F.col("m")[0] - F.col("target")) ** 2)).first()[0]))
+
+
+def _fit(df: DataFrame, features: Sequence[str], key: str, target: Column, s: Settings, labels: Sequence[str] | None,
+         grid: Mapping[str, Sequence] | None, folds: int, strata: str | None, params: Mapping) -> Fitted:
+    s = replace(s, **params)
+    if not grid:
+        return Fitted(fit_model(prepare(df, features, key, target, s.classes), s, features, labels), dict(params))
+    parted = with_folds(df, key, folds, strata=strata, out="_fold")
+    rows = prepare(parted, features, key, target, s.classes, F.col("_fold"))
+    scores = grid_scores(rows, s, grid, folds)
+    best, score = max(scores, key=lambda x: x[1])
+    return Fitted(fit_model(rows, replace(s, **best), features, labels), best, score, scores)
 
 
 def fit_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, grid: Mapping[str, Sequence] | None = None,
-                   folds: int = fv.FOLDS, **params) -> tuple[ClassModels, dict, float | None]:
-    """Class models for a text label; with a grid, tuned by macro F1 over stratified folds."""
+                   folds: int = fv.FOLDS, **params) -> Fitted:
+    """Softmax boosting of a text label by trees of limited depth; with a grid, tuned by macro F1 over stratified folds.
+
+    Rows whose label is NULL are left out.
+    """
     labels = class_labels(df, label)
-    indexed = df.withColumn("_label", encode(label, {v: i for i, v in enumerate(labels)}, None).cast("int"))
-    gbt = GBTClassifier(seed=fv.SEED, **params)
-    booster = ClassBooster(gbt, labels, list(features), "_label")
-    if not grid:
-        return booster.fit(indexed), params, None
-    rows = with_folds(indexed, key, folds, strata=label, out="_fold")
-    return tune(booster, rows, grid_of(gbt, grid), MacroF1Evaluator("_label", "predicted_index"), "_fold", folds)
+    target = encode(label, {v: i for i, v in enumerate(labels)}, None).cast("double")
+    s = Settings(len(labels), max_depth=6, learning_rate=0.3, seed=fv.SEED)
+    return _fit(df, list(features), key, target, s, labels, grid, folds, label, params)
 
 
 def fit_regressor(df: DataFrame, features: Sequence[str], target: str, key: str, grid: Mapping[str, Sequence] | None = None,
-                  folds: int = fv.FOLDS, **params) -> tuple[RegressionModel, dict, float | None]:
-    """Boosted regressor; with a grid, tuned by RMSE over plain folds."""
-    gbt = GBTRegressor(seed=fv.SEED, **params)
-    booster = RegressionBooster(gbt, list(features), target)
-    if not grid:
-        return booster.fit(df), params, None
-    rows = with_folds(df, key, folds, out="_fold")
-    rmse = RegressionEvaluator(labelCol=target, predictionCol="predicted_quality", metricName="rmse")
-    return tune(booster, rows, grid_of(gbt, grid), rmse, "_fold", folds)
+                  folds: int = fv.FOLDS, **params) -> Fitted:
+    """Boosting of a number by trees that grow best leaf first; with a grid, tuned by RMSE over plain folds."""
+    s = Settings(0, num_leaves=31, min_child_samples=20, min_child_weight=1e-3, l2=0.0, seed=fv.SEED)
+    fitted = _fit(df, list(features), key, F.col(target).cast("double"), s, None, grid, folds, None, params)
+    return fitted
+
+
+def settings_row(fitted: Fitted) -> dict:
+    """The chosen settings under the names that reports give them."""
+    return {f"best_{name}": value for name, value in fitted.best.items()}
+
+
+__all__ = ["BINS", "Fitted", "Model", "Prepared", "Settings", "asdict", "bin_edges", "class_labels", "combinations", "fit_classifier",
+           "fit_model", "fit_regressor", "grid_scores", "label_index", "prepare", "settings_row"]
