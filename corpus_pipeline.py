@@ -6,7 +6,6 @@ A stage takes (spark, docs, sf_dir) and works on all of `docs`; all but the last
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest id: shingles of five words, similarity of 0.8 or more."""
-    return simhash.one_of_each(docs, shingle=5, similarity=0.8)
+    """One document of each group stays, that with the smallest id: links of three bits or fewer over three-word shingles."""
+    return simhash.one_of_each(docs, shingle=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +38,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards in the order of the mix, written and read back; doc_id, start, n_tokens, ids_crc32.
 
-    The order is that of the files' names and the rows in them; documents that come from no file are taken by id.
+    The order is that of the part files, by their numbers, and of the rows in them: `docs` are files that Spark wrote. Where
+    a name holds no part number the job fails.
     """
-    try:
-        ordered = docs.withColumn("__place", F.struct("_metadata.file_name", "_metadata.row_index"))
-        order = "__place"
-    except AnalysisException:
-        ordered, order = docs, "doc_id"
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    placed = docs.select("doc_id", "text", F.struct(
+        F.coalesce(part, F.raise_error(F.concat(F.lit("no part number: "), F.col("_metadata.file_name"))).cast("long")).alias("part"),
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias("place"))
     path = stage_path(spark, "token-shards")
-    tokens.write_shards(ordered, path, public_tokenizers.path(tokens.TOKENIZER), order=order)
+    tokens.write_shards(placed, path, public_tokenizers.path(tokens.TOKENIZER), order="place")
     return (tokens.documents(tokens.read_shards(spark, path))
             .select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
 

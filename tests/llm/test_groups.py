@@ -91,34 +91,29 @@ def test_hundreds_in_one_bucket(spark):
     assert {roots[n] for n in near} == {min(near)} and {roots[n] for n in far} == {min(far)}
 
 
-def test_near_groups(spark):
-    rnd = random.Random(3)
-    texts = []
-    for _ in range(25):
-        words = [f"v{rnd.randrange(3000)}" for _ in range(rnd.choice([60, 200]))]
-        texts.append(" ".join(words))
-        for _ in range(3):
-            other = list(words)
-            for _ in range(len(words) // 70):
-                other[rnd.randrange(len(words))] = f"u{rnd.randrange(3000)}"
-            texts.append(" ".join(other))
-    texts += [None, "", "a b", "A  b", texts[0].upper(), "c"]
-    table = spark.createDataFrame([(k, t, "g") for k, t in enumerate(texts)] + [(None, "a b", "g")], "doc_id bigint, text string, group_id string")
-    sets = []
-    for t in texts:
-        words = WORD.findall((t or "").translate(LOWER))
-        sets.append({tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
-    union = Union(range(len(texts)))
-    for i in range(len(texts)):
+def test_one_of_each(spark):
+    texts = corpus(3)
+    rows = [(k if k % 9 else None, t, k % 2) for k, t in enumerate(texts)] + [(4, texts[4], 0), (4, texts[4], 0), (4, texts[4], 5), (5, "lone words here", 1)] * 2
+    rows += [(None, "only without an id", 1)] * 2
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, bits int").repartition(4)
+    prints = [plain_fingerprint(t, 3) for _, t, _ in rows]
+    union = Union(range(len(rows)))
+    for i in range(len(rows)):
         for j in range(i):
-            both = len(sets[i] & sets[j])
-            if not sets[i] and not sets[j] or both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and both:
+            if bin(prints[i] ^ prints[j]).count("1") <= 3:
                 union.join(i, j)
-    found = {r.doc_id: r.group_id for r in simhash.near_groups(table).collect()}
-    assert found == {k: union.find(k) for k in range(len(texts))}
-    left = simhash.one_of_each(table)
-    assert left.columns == table.columns
-    assert {r.doc_id for r in left.collect()} == {None} | {k for k in found if union.find(k) == k}
+    smallest = {}
+    for k, (doc_id, _, _) in enumerate(rows):
+        root = union.find(k)
+        smallest[root] = min(smallest.get(root, (True, 0)), (doc_id is None, doc_id or 0))
+    out = simhash.one_of_each(table)
+    assert out.columns == table.columns
+    found = Counter()
+    for r in out.collect():
+        k = rows.index(tuple(r))
+        found[union.find(k)] += 1
+        assert smallest[union.find(k)] == (r.doc_id is None, r.doc_id or 0)
+    assert found == Counter(smallest.keys())
     assert simhash.one_of_each(table.limit(0)).count() == 0
 
 

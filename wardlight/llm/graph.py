@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlight.llm.common import stage
 
-MOST_ROUNDS = 60
 #: Most hubs that a node is tried against, and how many nodes a node's bucket holds on average before a further one is.
 HUBS, MANY = 5, 20
 
@@ -27,9 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = _mark(edges)
-    for _ in range(MOST_ROUNDS):
-        if not before[0]:
-            break
+    while before[0]:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("low", "a").alias("root"))
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
@@ -43,8 +40,6 @@ def components(links: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError(f"components not found in {MOST_ROUNDS} rounds")
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             .union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
 
@@ -58,9 +53,10 @@ def linked(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> Da
     either tried or already joined, and a bucket of many alike nodes costs a few tries for each node instead of one for
     each pair.
     """
-    shared = stage(buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-                   .where("low <> high").select("key"), "shared-buckets")
-    members = stage(buckets.join(shared, "key").distinct(), "bucket-members")
+    # one shuffle by key; most buckets hold one node and go where they arrive
+    bucket = Window.partitionBy("key")
+    members = stage(buckets.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
+                    .where("low <> high").select("key", "node").distinct(), "bucket-members")
     links = members.sparkSession.createDataFrame([], members.select(F.col("node").alias("a"), F.col("node").alias("b")).schema)
     placed = members.withColumn("root", F.col("node"))
     for number in range(HUBS):

@@ -6,11 +6,6 @@ most differences, left out). So every fingerprint emits, for each part left out,
 one bit, half of two: the balls of two such fingerprints meet in a variant. Variants are dealt by shuffle, those met by
 one fingerprint alone fall away, and the rest are verified on all 64 bits. Equal fingerprints are one before that, so
 groups of copies cost one row.
-
-`near_groups` joins texts of a similarity (Jaccard, on distinct shingles) of 0.8 or more. Such texts differ in ten bits
-of a fingerprint, too far for any ball. So it adds fingerprints of small samples: the SimHash of the five shingles that
-are lowest in one of 24 orders, equal in both texts in a third of the orders at 0.8. Every pair that meets by
-a variant or a sample is verified on the whole sets of shingles.
 """
 
 from __future__ import annotations
@@ -21,15 +16,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import WHITE, Prefix, lower_ascii, mix, slices, stage, word_table, words
+from wardlight.llm.common import WHITE, lower_ascii, slices, stage, word_table, words
 from wardlight.llm.graph import linked
 
 SEED = 42
 RADIUS = 3
 #: First bits of the parts that are left out in turn, and the end.
 PARTS = (0, 22, 43, 64)
-SIMILARITY = 0.8
-ORDERS, SAMPLE = 24, 5
 
 _WORD = word_table(WHITE)
 
@@ -136,96 +129,30 @@ def components(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return prints.join(named, "bits").select("doc_id", "bits", "component_id")
 
 
-# -- similarity of 0.8 or more
+def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """`docs` with the same columns and one row of each component: that with the smallest doc_id.
 
-def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, k: int):
-    data = lower_ascii(data)
-    starts, ends, rows = words(data, offsets, _WORD)
-    n = len(offsets) - 1
-    hashes = Prefix(data).hash(starts, ends)
-    first, last, of = _shingle_rows(rows, n, k)
-    total = np.zeros(len(first), np.uint64)
-    for step in range(k):
-        inside = first + step <= last
-        total = np.where(inside, mix(total + hashes[np.minimum(first + step, last)]), total)
-    ends_of = np.searchsorted(of, np.arange(n), "right")
-    return total, np.searchsorted(of, np.arange(n), "left"), ends_of
-
-
-_SEEDS = mix(np.arange(1, 1 + ORDERS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def _sketcher(k: int):
-    @F.arrow_udf("struct<same:bigint,bits:bigint,size:int,samples:array<bigint>>")
-    def sketch(text: pa.Array) -> pa.Array:
-        same, bits, sizes, samples = [], [], [], []
-        for data, offsets in slices(text):
-            hashes, lows, highs = _shingle_hashes(data, offsets, k)
-            bits.append(fingerprints(data, offsets, k))
-            for low, high in zip(lows, highs):
-                own = hashes[low:high]
-                order = np.arange(1, 2 * len(own) + 1, 2, dtype=np.uint64)
-                same.append(int(mix(np.array([(own * order).sum(dtype=np.uint64) + np.uint64(len(own))]))[0]))
-                own = np.unique(own)
-                sizes.append(len(own))
-                if len(own):
-                    m = min(SAMPLE, len(own))
-                    ranked = mix(own[None, :] ^ _SEEDS[:, None])
-                    chosen = np.sort(np.partition(ranked, m - 1, axis=1)[:, :m], axis=1)
-                    samples.append(_majority(chosen.ravel(), np.repeat(np.arange(ORDERS), m), ORDERS).view(np.int64).tolist())
-                else:
-                    samples.append([])
-        return pa.StructArray.from_arrays(
-            [pa.array(np.array(same, np.uint64).view(np.int64)),
-             pa.array(np.concatenate([np.zeros(0, np.uint64), *bits]).view(np.int64)),
-             pa.array(sizes, pa.int32()), pa.array(samples, pa.list_(pa.int64()))], names=["same", "bits", "size", "samples"])
-    return sketch
-
-
-def _shingle_sets(k: int):
-    @F.arrow_udf("array<bigint>")
-    def sets(text: pa.Array) -> pa.Array:
-        out = []
-        for data, offsets in slices(text):
-            hashes, lows, highs = _shingle_hashes(data, offsets, k)
-            out += [np.unique(hashes[i:j]).view(np.int64) for i, j in zip(lows, highs)]
-        return pa.array(out, pa.list_(pa.int64()))
-    return sets
-
-
-def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and group_id (the smallest doc_id of its group) of every row of `docs` with an id.
-
-    Texts equal in their lower-cased words are copies; texts without words are copies of each other. Copies are one
-    before anything else. Links join different texts as told above. Rows that repeat an id are all kept.
+    Rows that repeat this id are told apart by a hash of all their columns, the smallest stays; of equal rows one does. A
+    component whose rows all lack an id keeps one of them in the same way.
     """
-    texts = docs.where("doc_id is not null").select("doc_id", "text")
-    sketches = stage(texts.select("doc_id", _sketcher(shingle)("text").alias("s"))
-                     .select("doc_id", "s.same", "s.bits", "s.size", "s.samples"), "sketches")
-    classes = stage(sketches.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("bits").alias("bits"),
-                                                 F.min("size").alias("size"), F.min("samples").alias("samples")), "text-classes")
-    samples = classes.select(F.posexplode("samples").alias("order", "sample"), "node").select(
-        F.xxhash64(F.lit("sample"), "order", "sample").alias("key"), "node")
-    balls = _spread(classes.where("size > 0").select("node", "bits")).select(F.explode(ball_keys(F.col("bits"))).alias("key"), "node")
-    sizes = classes.select("node", "size")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        a, b = (sizes.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}")) for n in "ab")
-        likely = stage(pairs.join(a, "a").join(b, "b").where(
-            (F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b"))).select("a", "b"), "candidates")
-        wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-        sets = stage(texts.join(wanted, "doc_id").select("doc_id", _shingle_sets(shingle)("text").alias("shingles"))
-                     .groupBy("doc_id").agg(F.min("shingles").alias("shingles")), "shingle-sets")
-        x, y = (sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"set_{n}")) for n in "ab")
-        both = F.size(F.array_intersect("set_a", "set_b"))
-        return (likely.join(x, "a").join(y, "b")
-                .where(both >= similarity * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
-    roots = linked(samples.union(balls), verified)
-    named = classes.select("same", "node").join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("group_id"))
-    return sketches.select("doc_id", "same").join(named, "same").select("doc_id", "group_id")
-
-
-def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """`docs` with the same columns, without the documents whose group holds a smaller doc_id; rows without id stay."""
-    later = near_groups(docs, shingle, similarity).where("group_id < doc_id").select("doc_id")
-    return docs.join(stage(later, "later-copies"), "doc_id", "left_anti").select(*docs.columns)
+    def own_hash(side: str = "") -> Column:
+        return F.xxhash64(*[F.col(f"{side}`{c}`") for c in docs.columns])
+
+    def those(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.alias("r").join(keys.alias("k"), F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (own_hash("r.") == F.col("k.h")), how)
+    prints = stage(docs.select("doc_id", own_hash().alias("h"), fingerprint(shingle)("text").alias("bits")), "fingerprints")
+    roots = linked_fingerprints(prints).withColumnRenamed("node", "bits")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h")
+    per_print = (prints.groupBy("bits").agg(F.min(rank).alias("first")).join(roots, "bits", "left")
+                 .select("bits", "first", F.coalesce("root", "bits").alias("root")))
+    per_print = stage(per_print, "print-firsts")
+    best = per_print.groupBy("root").agg(F.min("first").alias("best"))
+    firsts = stage(per_print.join(best, "root").select("bits", "best"), "component-firsts")
+    gone = stage(prints.join(firsts, "bits").where(rank > F.col("best")).select("doc_id", "h").distinct(), "later-copies")
+
+    kept = those(docs, gone, "left_anti")
+    twice = prints.join(firsts, "bits").where(rank == F.col("best")).groupBy("doc_id", "h").count().where("count > 1")
+    twice = stage(twice, "repeated-rows")
+    if twice.isEmpty():
+        return kept
+    return those(kept, twice, "left_anti").union(those(kept, twice, "left_semi").dropDuplicates())
