@@ -127,9 +127,10 @@ def test_ids_are_those_of_the_library(tokenizer, encoder, text):
 
 
 def test_forgetting(tokenizer, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 10)
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 10)
     small = tokens.Encoder(public_tokenizers.path(tokens.TOKENIZER))
-    for text in ("one two three, four.", "five six one two!", "İx <|endoftext|> it's"):
+    for text in ("one two three, four.", "five six one two!", "İx <|endoftext|> it's", "a <|ENDOFTEXT|> b <|EndOfText|>C<|endoftext|>D",
+                 "don't DON'T it's'", "x--y ---", "“quoted” naïve’s É ÉA ﬁ ǅ á ẞ", " \t a\x0bB  c d", "'s 't it'll''", "tail!?..., 1a2 a_b _a_", "ɐa µ ª"):
         assert small.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 

@@ -13,6 +13,7 @@ The text shuffles once. Tokenizing happens behind that shuffle, so a lost task r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +21,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import slices
+from wardlight.llm.common import lower_ascii, slices, word_table, words
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: A shard is closed by the document that reaches this many ids.
 SHARD_IDS = 1_000_000
 BLOCK_BITS = 512
-#: Most words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+#: Texts are encoded in runs of about so many bytes.
+RUN_BYTES = 2 << 20
+#: Most bytes of pieces and ids that a worker remembers, with what a dictionary takes for each; then it begins anew.
+REMEMBERED_BYTES, ENTRY_BYTES = 64 << 20, 170
+#: Marks that may stand behind a word in a piece: ASCII without letters, digits and white space.
+_PIECE = word_table(b" \n")
+MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SHARDS = ("part int, seq int, n_before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, bits int, "
           "planes array<binary>, ranks array<binary>, zeros array<bigint>")
 
@@ -36,67 +42,123 @@ SHARDS = ("part int, seq int, n_before bigint, n_ids bigint, doc_ids array<bigin
 class Encoder:
     """Ids of whole texts by a tokenizer of the tokenizers library, as 32-bit numbers.
 
-    The tokenizer splits at white space and lower-cases, so the ids of a text are those of its pieces between blanks
-    and line breaks, one after the other. Ids of pieces are remembered; what a batch holds anew goes to the library,
-    plain words many at a time: each of them ends with the one id that ends a word, which is checked by their number.
+    The tokenizer splits at white space and lower-cases, so the ids of a text are those of its pieces between blanks and
+    line breaks, one after the other. Only pieces that hold `<|`, with which added tokens begin, keep their capitals: added
+    tokens are looked for before lower-casing. Pieces of a run of texts are numbered, so each is looked up once, and ids are
+    remembered. A new piece of letters, with marks behind it, is put together from both; letters that no normalisation
+    changes go to the library's model at once, many at a time, all else through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         import os
 
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {b"": b""}
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.largest = max(vocabulary.values())
+        self.ends = np.zeros(self.largest + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # a byte that prints stands for itself, the others for characters from 256 on, in order
+        printed = {ord(c) for c in ByteLevel.alphabet() if ord(c) < 256}
+        self.letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printed)}
+        self._forget()
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        """Remembers all pieces; a word with one stop behind it is put together from both."""
-        parts, words, other = {}, set(), set()
-        for piece in pieces:
-            text = piece.decode()
-            word = text.rstrip(".,;:!?")
-            if word.isalpha() and word.lower().isalpha() and len(text) - len(word) <= 1:
-                stem = word.encode()
-                parts[piece] = stem, piece[len(stem):]
-                words.add(stem)
-                other.add(piece[len(stem):])
-            else:
-                other.add(piece)
-        single, words = list(other - self.known.keys()), list(words - self.known.keys())
-        for k in range(0, len(words), 256):
-            group = words[k:k + 256]
-            ids = np.array(self._encode([b" ".join(group).decode()])[0], np.uint32)
+    def _forget(self) -> None:
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.held = 0
+
+    def _remember(self, piece: bytes, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += ENTRY_BYTES + len(piece) + len(ids)
+
+    def _letters(self, stem: bytes) -> str | None:
+        """A word of small letters as the model takes it; None if it is no such word."""
+        text = stem.decode()
+        if stem.isalpha():
+            return text
+        # letters up to U+024F are letters in every version of Unicode
+        if text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
+            return stem.decode("latin-1").translate(self.letters)
+        return None
+
+    def _learn_words(self, words: dict[bytes, str]) -> list[bytes]:
+        """Remembers words of letters; gives back those for which the ends of words don't tell their ids apart."""
+        stems, missed = list(words), []
+        groups = [stems[k:k + 256] for k in range(0, len(stems), 256)]
+        for group, e in zip(groups, self.plain.encode_batch_fast([" ".join([words[w] for w in g]) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(group) and cuts[-1] == len(ids):
                 raw, begin = ids.tobytes(), 0
                 for stem, cut in zip(group, (4 * cuts).tolist()):
-                    self.known[stem] = raw[begin:cut]
+                    self._remember(stem, raw[begin:cut])
                     begin = cut
             else:
-                single += group
-        for piece, ids in zip(single, self._encode([p.decode() for p in single])):
-            self.known[piece] = np.array(ids, np.uint32).tobytes()
-        for piece, (stem, tail) in parts.items():
-            self.known[piece] = self.known[stem] + self.known[tail]
+                missed += group
+        return missed
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text in UTF-8."""
-        split = [text.lower().replace(b"\n", b" ").split(b" ") for text in texts]
-        new = {p for pieces in split for p in pieces} - self.known.keys()
+    def _learn(self, pieces: list[bytes]) -> None:
+        known, words, other, parts = self.known, {}, set(), []
+        for piece in pieces:
+            stem = piece.rstrip(MARKS)
+            if stem not in known and stem not in words:
+                text = self._letters(stem)
+                if text is None:
+                    other.add(piece)
+                    continue
+                words[stem] = text
+            if len(stem) < len(piece):
+                tail = piece[len(stem):]
+                parts.append((piece, stem, tail))
+                if tail not in known:
+                    other.add(tail)
+        other.update(self._learn_words(words))
+        single = list(other)
+        for piece, e in zip(single, self.tokenizer.encode_batch_fast([p.decode() for p in single], add_special_tokens=False)):
+            self._remember(piece, np.array(e.ids, np.uint32).tobytes())
+        for piece, stem, tail in parts:
+            self._remember(piece, known[stem] + known[tail])
+
+    def encode_run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows of UTF-8 bytes, one after the other, and how many each row has."""
+        n = len(offsets) - 1
+        starts, ends, rows = words(data, offsets, _PIECE)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        inside = _PIECE[data]
+        bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        packed, lowered = data[inside], lower_ascii(data[inside])
+        marks = np.flatnonzero((packed[:-1] == 0x3C) & (packed[1:] == 0x7C))  # <|
+        for w in np.unique(np.searchsorted(bounds, marks, "right") - 1).tolist():
+            lowered[bounds[w]:bounds[w + 1]] = packed[bounds[w]:bounds[w + 1]]
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(lowered)]).dictionary_encode()
+        number, (_, cuts, raw) = column.indices.to_numpy(), column.dictionary.buffers()
+        cuts, raw = np.frombuffer(cuts, np.int64)[:len(column.dictionary) + 1].tolist(), raw.to_pybytes()
+        pieces = [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+        new = [p for p in pieces if p not in self.known]
         if new:
-            if len(self.known) + 2 * len(new) > REMEMBERED:
-                self.known = {b"": b""}
-                new = {p for pieces in split for p in pieces} - self.known.keys()
+            if self.held > REMEMBERED_BYTES:
+                self._forget()
+                new = pieces
             self._learn(new)
-        of = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(of, pieces)), np.uint32) for pieces in split]
+        found = [self.known[p] for p in pieces]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths
+        per_word = lengths[number]
+        before = np.cumsum(per_word) - per_word
+        ids = flat[np.repeat(first[number] - before, per_word) + np.arange(int(per_word.sum()))]
+        return ids, np.bincount(rows, per_word, n).astype(np.int64)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text in UTF-8."""
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        ids, counts = self.encode_run(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        return np.split(ids, np.cumsum(counts)[:-1])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -226,22 +288,23 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, order: str = "doc_i
         encode = encoder(tokenizer)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, held, size = [], [], 0
-        width = max(int(len(encode.ends) - 1).bit_length(), end_id.bit_length())
+        width = max(encode.largest.bit_length(), end_id.bit_length())
         for batch in batches:
             ids, row = batch.column(0).to_pylist(), 0
-            for data, offsets in slices(batch.column(1), 1 << 20):
-                raw = data.tobytes()
-                for tokens in encode.encode([raw[i:j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]):
+            for data, offsets in slices(batch.column(1), RUN_BYTES):
+                tokens, counts = encode.encode_run(data, offsets)
+                tokens = np.insert(tokens, np.cumsum(counts), np.uint32(end_id))
+                for text in np.split(tokens, np.cumsum(counts + 1)[:-1]):
                     doc_ids.append(ids[row])
-                    held.append(np.append(tokens, np.uint32(end_id)))
-                    size += len(held[-1])
+                    held.append(text)
+                    size += len(text)
                     row += 1
                     if size >= shard_ids:
                         yield _row(part, seq, before, doc_ids, held, width)
                         doc_ids, held, size, seq, before = [], [], 0, seq + 1, before + size
         if held:
             yield _row(part, seq, before, doc_ids, held, width)
-    sorted_docs.mapInArrow(pack, SHARDS).write.option("compression", "uncompressed").parquet(path)
+    sorted_docs.mapInArrow(pack, SHARDS).write.option("compression", "zstd").parquet(path)
 
 
 def _row(part: int, seq: int, before: int, doc_ids: list, held: list[np.ndarray], bits: int) -> pa.RecordBatch:
