@@ -1,5 +1,7 @@
 """Files, names, aliases, stored tables, logs and checks."""
 
+import csv
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardlight.operators import quality
 from wardlight.operators.shape import ensure_columns
-from wardlight.sources import ingest, layers
+from wardlight.sources import ingest, layers, quoted
 
 NOW = datetime(2024, 5, 6, tzinfo=timezone.utc)
 
@@ -104,3 +106,31 @@ def test_folder_by_name_and_null_markers(spark, tmp_path):
 def test_numbered_names_stay_free(spark):
     df = spark.createDataFrame([("1", "2", "3", "4")], ["a", "A", "a_2", "a "])
     assert ingest.clean_columns(df).columns == ["a", "a_3", "a_2", "a_4"]
+
+
+def test_records_across_splits(spark, tmp_path):
+    """Quoted line breaks anywhere, also over several splits: the rows of one reader, read by many tasks."""
+    rnd = random.Random(4)
+    folder = tmp_path / "many"
+    folder.mkdir()
+    want = []
+    for k in range(4):
+        header = ["id", "note, long", "x"] if k < 3 else ["x", "id"]
+        rows = [[f"{k}-{n}", rnd.choice(["plain", 'a "quoted" word', "two\nlines", "\n\n" + "long line\n" * rnd.randrange(60), "a,b", "é\n"]),
+                 rnd.choice(["1", "", "0"])] for n in range(120)]
+        rows = rows if k < 3 else [[r[2], r[0]] for r in rows]
+        with open(folder / f"{k}.csv", "w", newline="") as f:
+            writer = csv.writer(f, lineterminator="\r\n" if k == 1 else "\n")
+            writer.writerows([header, *rows])
+        want += [(r[0], r[1], r[2] or None) if k < 3 else (r[1], None, r[0] or None) for r in rows]
+    (folder / "empty.csv").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        files = quoted.survey(spark, [str(folder)])
+        assert any(sum(f.inside.values()) > 1 for f in files.values()) and len(files) == 4
+        df = ingest.read_raw_csv(spark, str(folder))
+        assert df.rdd.getNumPartitions() > 20
+        assert sorted(map(tuple, df.select("id", "`note, long`", "x").collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlight import fixed_values as fv
+from wardlight.sources import quoted
 
 
 def has_line_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
-    """True when some line holds an odd number of quotes, so that a record spans lines."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return bool(spark.read.text(path).agg(F.max(quotes % 2)).first()[0])
+    """True when some line of some file holds an odd number of quotes, so that a record spans lines."""
+    return any(f.odd for f in quoted.survey(spark, [path]).values())
 
 
 def _distinct_header(names: Sequence[str]) -> list[str]:
@@ -36,29 +36,53 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | None = None,
     """Every row of a CSV file, or of all files of a folder, with a header; every column as text.
 
     No type is inferred, so ids keep their leading zeros. Each file is read by its own header and the files are put
-    together by name; a column that a file lacks is NULL in its rows. Cells that hold a null marker are NULL. Files
-    whose quoted fields hold line breaks cannot be split among tasks; unless told, a first pass over the lines of each
-    file finds out whether that is needed.
+    together by name; a column that a file lacks is NULL in its rows. Cells that hold a null marker are NULL. One job looks
+    over all files first. Files of the same header are one scan; of these, those whose quoted fields hold line breaks are cut
+    into records split by split. `multi_line` says of all files whether they do, in place of what the job finds.
     """
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        raise ValueError(f"no file in {path}")
-    tables = [_read_file(spark, f, multi_line, null_markers) for f in files]
+    files = quoted.survey(spark, [path])
+    by_header: dict[tuple[str, bool], dict[str, quoted.File]] = {}
+    for name, file in files.items():
+        if file.header is not None:
+            by_header.setdefault((file.header, file.odd if multi_line is None else multi_line), {})[name] = file
+    if not by_header:
+        raise ValueError(f"no header in {path}")
+    cells = _header_cells(spark, sorted({header for header, _ in by_header}))
+    tables = [_read_files(spark, group, cells[header], odd, null_markers) for (header, odd), group in sorted(by_header.items())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def _read_file(spark: SparkSession, path: str, multi_line: bool | None, null_markers: Sequence[str]) -> DataFrame:
-    if multi_line is None:
-        multi_line = has_line_breaks_in_quotes(spark, path)
-    reader = spark.read.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-    header = reader.option("header", False).csv(path).first()
-    if header is None:
-        raise ValueError(f"no header in {path}")
-    names = _distinct_header([v if v is not None else f"unnamed {i}" for i, v in enumerate(header)])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = reader.option("header", True).schema(schema).csv(path)
-    cell = lambda n: F.col("`" + n.replace("`", "``") + "`")
-    return rows.select(*[F.when(~cell(n).isin(list(null_markers)), cell(n)).alias(n) if null_markers else cell(n) for n in names])
+_CSV = {"quote": '"', "escape": '"'}
+
+
+def _header_cells(spark: SparkSession, headers: Sequence[str]) -> dict[str, list[str]]:
+    """The names in each header record."""
+    widths = {h: h.count(",") + 1 for h in headers}
+    rows = spark.createDataFrame([(h,) for h in headers], "header string")
+    schema = ", ".join(f"c{k} string" for k in range(max(widths.values())))
+    found = rows.select("header", F.from_csv("header", schema, _CSV).alias("cells")).select("header", F.array("cells.*").alias("cells")).collect()
+    out = {}
+    for header, cells in found:
+        # commas inside of quotes part no cells: names end where only NULLs follow
+        last = max((k for k, c in enumerate(cells[:widths[header]]) if c is not None), default=-1) + 1
+        trailing = len(header) - len(header.rstrip(","))
+        names = cells[:last + trailing]
+        out[header] = _distinct_header([v if v is not None else f"unnamed {k}" for k, v in enumerate(names)])
+    return out
+
+
+def _read_files(spark: SparkSession, files: Mapping[str, quoted.File], names: Sequence[str], multi_line: bool,
+                null_markers: Sequence[str]) -> DataFrame:
+    """Files of one header."""
+    schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(names))])
+    if multi_line:
+        ddl = ", ".join(f"c{k} string" for k in range(len(names)))
+        rows = quoted.records(spark, dict(files)).select(F.from_csv("record", ddl, _CSV).alias("r")).select("r.*")
+    else:
+        rows = spark.read.options(**_CSV, header=True, enforceSchema=True).schema(schema).csv(list(files))
+    cell = lambda k: F.col(f"c{k}")
+    return rows.select(*[F.when(~cell(k).isin(list(null_markers)), cell(k)).alias(n) if null_markers else cell(k).alias(n)
+                         for k, n in enumerate(names)])
 
 
 def clean_column(name: str) -> str:
