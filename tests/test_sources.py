@@ -134,3 +134,33 @@ def test_records_across_splits(spark, tmp_path):
         assert sorted(map(tuple, df.select("id", "`note, long`", "x").collect()), key=str) == sorted(want, key=str)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_failed_write_keeps_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    layers.write_table(spark.range(3).toDF("x"), root, "raw", "t")
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("bigint").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        layers.write_table(broken, root, "raw", "t")
+    old = layers.read_table(spark, root, "raw", "t")
+    assert old.count() == 3
+    itself = layers.write_table(old.union(old), root, "raw", "t")
+    assert itself.count() == 6 and old.count() == 3  # the version before can still be read
+    layers.write_table(itself.limit(1), root, "raw", "t")
+    assert layers.read_table(spark, root, "raw", "t").count() == 1
+    assert len(list((tmp_path / "raw" / "t").glob("v-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        layers.read_table(spark, root, "raw", "none")
+
+
+def test_load_and_reconcile(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Facility ID,Score\n001,"5\n6"\n002,N/A\n')
+    (tmp_path / "b.csv").write_text("LocationID,Data_Value\n")
+    registry = {"hospitals_timely_care": str(tmp_path / "a.csv"), "cdc_places_county": str(tmp_path / "b.csv")}
+    log = str(tmp_path / "log")
+    tables, report = layers.load_logged(spark, registry, str(tmp_path / "w"), log, NOW)
+    assert {tuple(r) for r in report.collect()} == {("hospitals_timely_care", 2, 2, 9, "PASS"), ("cdc_places_county", 0, 0, 9, "PASS")}
+    assert tables["hospitals_timely_care"].where("score is null").count() == 1
+    with pytest.raises(Exception):
+        layers.load_logged(spark, registry | {"hospitals_general": str(tmp_path / "no.csv")}, str(tmp_path / "w"), log, NOW)
+    assert sorted(r.status for r in spark.read.parquet(log).collect()) == ["failed", "success"]

@@ -20,36 +20,76 @@ from wardlight.workspace import stage_path
 M = "mart_hospital_performance"
 GENERAL = ("provider_id", "hospital_name", "address", "city", "state", "zip_code", "hospital_type",
            "hospital_ownership", "overall_rating")
-# Header cells as a published file might have them.
-HEADER = {
-    "provider_id": "Facility ID", "hospital_name": "Facility Name", "address": "Address", "city": "CityTown",
-    "state": "State", "zip_code": "ZIP Code", "hospital_type": "Hospital Type",
-    "hospital_ownership": "Hospital Ownership", "overall_rating": "Hospital overall rating",
+# Header cells as the published files have them, by kind.
+MEASURE_HEADER = {"provider_id": "Facility ID", "measure_id": "Measure ID", "measure_name": "Measure Name", "score": "Score"}
+HEADERS = {
+    "general": {
+        "provider_id": "Facility ID", "hospital_name": "Facility Name", "address": "Address", "city": "CityTown",
+        "state": "State", "zip_code": "ZIP Code", "hospital_type": "Hospital Type",
+        "hospital_ownership": "Hospital Ownership", "overall_rating": "Hospital overall rating",
+    },
+    "readmission": MEASURE_HEADER | {"compared_to_national": "Compared to National"},
+    "experience": {"provider_id": "Facility ID", "measure_id": "HCAHPS Measure ID", "measure_name": "HCAHPS Question",
+                   "score": "HCAHPS Linear Mean Value"},
+    "timely": MEASURE_HEADER,
+    "county": {"county_fips": "LocationID", "state": "StateAbbr", "measure_id": "MeasureId", "measure": "Measure",
+               "data_value": "Data_Value"},
 }
+# Files of years for which the driver tables have no view hold that of the current year.
+VIEW_OF = {t: t if t in adapter.VIEWS else t[:-5] for t in fv.DATASETS}
 LOADED_AT = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
 
-def _published(i: Inputs) -> str:
-    """The facility view written as a CSV folder with published header cells."""
-    path = stage_path(i.spark, "hospitals_general") + ".csv"
-    raw = i.raw("hospitals_general")
-    layers.export_csv(raw.select(*[F.col(c).alias(h) for c, h in HEADER.items()]), path)
+def _published(i: Inputs, table: str) -> str:
+    """A view written as a CSV folder with published header cells."""
+    path = stage_path(i.spark, table) + ".csv"
+    header = HEADERS[ingest.kind_of(table)]
+    layers.export_csv(i.raw(VIEW_OF[table]).select(*[F.col(c).alias(h) for c, h in header.items()]), path)
     return path
 
 
+def _known(c: str) -> str:
+    return f"CASE WHEN {c} NOT IN {o.in_list(fv.NULL_MARKERS)} THEN {c} END"
+
+
 @query("ingest_csv", f"""
 SELECT {', '.join(GENERAL)}, provider_id AS facility_id, city AS citytown FROM raw_hospitals_general""")
 def _(i: Inputs):
-    df = ingest.load_table(i.spark, "hospitals_general", _published(i), LOADED_AT)
+    df = ingest.load_table(i.spark, "hospitals_general", _published(i, "hospitals_general"), LOADED_AT)
     return df.select(*GENERAL, "facility_id", "citytown")
 
 
+def _canonical_sql(table: str) -> str:
+    """What each canonical column holds: the first published column among its candidates."""
+    kind = ingest.kind_of(table)
+    header = {ingest.clean_column(h): c for c, h in HEADERS[kind].items()}
+    columns = []
+    for target, candidates in fv.CANONICAL_COLUMNS[kind].items():
+        source = header.get(target) or next((header[c] for c in candidates if c in header), None)
+        columns.append(f"{_known(source)} AS {target}" if source else f"CAST(NULL AS VARCHAR) AS {target}")
+    return f"SELECT {', '.join(columns)} FROM raw_{table}"
+
+
+def _register_kinds() -> None:
+    for table in ("hospitals_general", "hospitals_readmissions", "hospitals_patient_experience", "hospitals_timely_care", "cdc_places_county"):
+        kind = ingest.kind_of(table)
+
+        @query(f"canonical_{kind}", _canonical_sql(table))
+        def _(i: Inputs, table=table, kind=kind):
+            df = ingest.load_table(i.spark, table, _published(i, table), LOADED_AT)
+            return df.select(*fv.CANONICAL_COLUMNS[kind])
+
+
+_register_kinds()
+
+
 @query("ingest_lineage", """
-SELECT 'orders.parquet' AS source_file, o_orderkey, TIMESTAMP '2024-01-02 03:04:05' = TIMESTAMP '2024-01-02 03:04:05' AS fixed_time
-FROM orders""")
+SELECT 'orders.parquet' AS source_file, o_orderkey, '2024-01-02 03:04:05' AS loaded_at FROM orders""")
 def _(i: Inputs):
     rows = ingest.with_lineage(i.table("orders").select("o_orderkey"), "orders.parquet", LOADED_AT)
-    return rows.select("source_file", "o_orderkey", (F.col("loaded_at") == F.lit(LOADED_AT)).alias("fixed_time"))
+    # as text of universal time, whatever the session's zone
+    at = F.to_utc_timestamp("loaded_at", F.current_timezone())
+    return rows.select("source_file", "o_orderkey", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("loaded_at"))
 
 
 @query("clean_column_names", """
@@ -96,30 +136,43 @@ def _(i: Inputs):
     return layers.row_counts({t: i.table(t) for t in adapter.TABLES})
 
 
+COUNTS_OF_FILES = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{VIEW_OF[t]}" for t in fv.DATASETS)
+
+
+def _n_columns(table: str) -> int:
+    kind = ingest.kind_of(table)
+    return len({ingest.clean_column(h) for h in HEADERS[kind].values()} | set(fv.CANONICAL_COLUMNS[kind])) + 2
+
+
 RAW_COUNTS = " UNION ALL ".join(
-    f"SELECT '{v}' AS table_name, count(*) AS source_rows, count(*) AS stored_rows, 'PASS' AS status FROM raw_{v}"
-    for v in ("hospitals_general", "hospitals_readmissions"))
+    f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS stored_rows, CAST({_n_columns(t)} AS INTEGER) AS columns, "
+    f"'PASS' AS status FROM raw_{VIEW_OF[t]}" for t in fv.DATASETS)
 
 
-def _reconciled(i: Inputs):
-    root = stage_path(i.spark, "warehouse")
-    source = {v: i.raw(v) for v in ("hospitals_general", "hospitals_readmissions")}
-    return layers.reconcile_counts(source, {t: layers.write_table(df, root, "raw", t) for t, df in source.items()})
+def _registry(i: Inputs) -> dict[str, str]:
+    return {t: _published(i, t) for t in fv.DATASETS}
+
+
+@query("load_all_counts", COUNTS_OF_FILES)
+def _(i: Inputs):
+    tables = ingest.load_all(i.spark, _registry(i), LOADED_AT)
+    return layers.row_counts(tables)
 
 
 @query("reconcile_counts", RAW_COUNTS)
 def _(i: Inputs):
-    return _reconciled(i)
+    """Nine files against their nine tables."""
+    return layers.load(i.spark, _registry(i), stage_path(i.spark, "warehouse"), LOADED_AT)[1]
 
 
 @query("run_log", f"""
 SELECT 'load_raw' AS pipeline_stage, 'success' AS status, table_name, source_rows, stored_rows, status AS table_status
 FROM ({RAW_COUNTS})""")
 def _(i: Inputs):
-    now = datetime.now(timezone.utc)
-    log = layers.log_run(i.spark, stage_path(i.spark, "runs"), "load_raw", now, now, _reconciled(i))
-    shape = "array<struct<table_name:string,source_rows:bigint,stored_rows:bigint,status:string>>"
-    rows = log.select("pipeline_stage", "status", F.explode(F.from_json("details", shape)).alias("d"))
+    log = stage_path(i.spark, "runs")
+    layers.load_logged(i.spark, _registry(i), stage_path(i.spark, "warehouse"), log, LOADED_AT)
+    shape = "array<struct<table_name:string,source_rows:bigint,stored_rows:bigint,columns:int,status:string>>"
+    rows = i.spark.read.parquet(log).select("pipeline_stage", "status", F.explode(F.from_json("details", shape)).alias("d"))
     return rows.select("pipeline_stage", "status", "d.table_name", "d.source_rows", "d.stored_rows",
                        F.col("d.status").alias("table_status"))
 
@@ -214,7 +267,7 @@ def _(i: Inputs):
     return quality.check_max_share(i.table("part"), "p_type")
 
 
-@query("check_not_empty", _check("events not empty", "1", "true", "(SELECT 1 FROM events LIMIT 1)"))
+@query("check_not_empty", _check("events not empty", "least(count(*), 1)", "count(*) > 0", "events"))
 def _(i: Inputs):
     return quality.check_not_empty(i.table("events"), "events")
 

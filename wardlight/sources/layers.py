@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime
-from functools import reduce
+from datetime import datetime, timezone
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlight.sources import ingest
+from wardlight.workspace import in_parallel
+
 VIEW_LAYERS = ("staging", "intermediate")
 
 
@@ -23,16 +27,69 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+POINTER = "_current"
+
+
+class _Folder:
+    """A table's folder: versions of its files, and a small file that names the current one and the one before."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.hadoop = spark, spark._jvm.org.apache.hadoop.fs
+        self.path, self.conf = self.hadoop.Path(path), spark._jsc.hadoopConfiguration()
+        self.files = self.path.getFileSystem(self.conf)
+
+    def at(self, name: str):
+        return self.hadoop.Path(self.path, name)
+
+    def versions(self) -> list[str]:
+        if not self.files.exists(self.at(POINTER)):
+            return []
+        stream = self.files.open(self.at(POINTER))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+        finally:
+            stream.close()
+
+    def point(self, *versions: str) -> None:
+        """One rename over the old file, so readers find the old version or the new one."""
+        fresh = self.at(f".{versions[0]}.pointer")
+        stream = self.files.create(fresh, True)
+        stream.write(bytearray("\n".join(versions).encode()))
+        stream.close()
+        kind = getattr(self.hadoop, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        self.hadoop.FileContext.getFileContext(self.files.getUri(), self.conf).rename(fresh, self.at(POINTER), options)
+
+
 def write_table(df: DataFrame, root: str, layer: str, name: str,
                 partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replaces a stored table and returns it as read back."""
-    path = table_path(root, layer, name)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return read_table(df.sparkSession, root, layer, name)
+    """Replaces a stored table and returns it as read back.
+
+    The rows go to a new folder; only then does the table point to it. A write that fails leaves the table as it was, a
+    table can be made from itself, and who reads the version before goes on reading it: it is deleted with the next write.
+    """
+    spark, path = df.sparkSession, table_path(root, layer, name)
+    folder, version = _Folder(spark, path), f"v-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
+    except Exception:
+        folder.files.delete(folder.at(version), True)
+        raise
+    before = folder.versions()
+    folder.point(version, *before[:1])
+    for old in before[1:]:
+        folder.files.delete(folder.at(old), True)
+    return spark.read.parquet(f"{path}/{version}")
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, layer, name))
+    """The current version of a stored table."""
+    path = table_path(root, layer, name)
+    versions = _Folder(spark, path).versions()
+    if not versions:
+        raise FileNotFoundError(f"no table in {path}")
+    return spark.read.parquet(f"{path}/{versions[0]}")
 
 
 def build_layer(dfs: Mapping[str, DataFrame], layer: str, root: str) -> dict[str, DataFrame]:
@@ -69,6 +126,42 @@ def reconcile_counts(source: Mapping[str, DataFrame], stored: Mapping[str, DataF
     return src.join(dst, "table_name", "full").withColumn("status", F.when(ok, "PASS").otherwise("FAIL"))
 
 
+def load(spark: SparkSession, registry: Mapping[str, str], root: str, loaded_at: datetime,
+         layer: str = "raw") -> tuple[dict[str, DataFrame], DataFrame]:
+    """All files of a registry as stored tables, and a report: table_name, source_rows, stored_rows, columns, status.
+
+    Rows of a file are counted while it is written, and those of the table by the footers of its files, so nothing is read
+    twice. Tables are loaded side by side.
+    """
+    def one(table: str, path: str):
+        seen = Observation(table)
+        rows = ingest.load_table(spark, table, path, loaded_at).observe(seen, F.count(F.lit(1)).alias("rows"))
+        stored = write_table(rows, root, layer, table)
+        return table, stored, seen.get["rows"], stored.count(), len(stored.columns)
+    found = in_parallel(spark, *[partial(one, t, p) for t, p in registry.items()])
+    report = [(t, n, m, k, "PASS" if n == m else "FAIL") for t, _, n, m, k in found]
+    return {t: stored for t, stored, *_ in found}, spark.createDataFrame(
+        report, "table_name string, source_rows bigint, stored_rows bigint, columns int, status string")
+
+
+def load_logged(spark: SparkSession, registry: Mapping[str, str], root: str, log_path: str, loaded_at: datetime,
+                stage_name: str = "load_raw") -> tuple[dict[str, DataFrame], DataFrame]:
+    """`load`, with a row in the run log whatever comes of it; fails if a table has not all rows of its file."""
+    now = lambda: datetime.now(timezone.utc)
+    started = now()
+    try:
+        tables, report = load(spark, registry, root, loaded_at)
+    except Exception as e:
+        failed = spark.createDataFrame([(type(e).__name__, "FAIL")], "error string, status string")
+        log_run(spark, log_path, stage_name, started, now(), failed)
+        raise
+    log_run(spark, log_path, stage_name, started, now(), report)
+    short = [r["table_name"] for r in report.where("status <> 'PASS'").collect()]  # a row for each table
+    if short:
+        raise RuntimeError(f"row counts differ for: {short}")
+    return tables, report
+
+
 def min_rows_check(df: DataFrame, floor: int, name: str = "rows") -> DataFrame:
     n = F.count(F.lit(1))
     return df.agg(n.alias("row_count"), (n > floor).alias("ok")).select(F.lit(name).alias("name"), "row_count", "ok")
