@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_ranking import plan_of
+from wardlight import workspace
 from wardlight.catalogue.registry import Inputs
+from wardlight.operators import ranking
 from wardlight.plans import features, marts, scores, staging
 
 SMALL = "/root/testdata/sf0.001"
@@ -80,14 +82,23 @@ def test_unknown_state_sorts_last(spark):
     assert sizes == [3, 2, 2]
 
 
-def test_marts_have_no_single_partition_window(spark):
-    plan = plan_of(Inputs(spark, SMALL).build_performance())
-    assert "Window" in plan
-    # the only single-partition exchange is that of the one-row minimum and maximum
-    assert plan.count("SinglePartition") == 1
-    for line in plan.splitlines():
-        if "Window [" in line:
-            assert "_slice" in line
+def test_marts_have_no_single_partition_window(spark, monkeypatch):
+    """Of all plans on the way to the mart, those of stored steps included."""
+    plans = []
+
+    def recorded(df, label="stage", store=workspace.stage):
+        plans.append(plan_of(df))
+        return store(df, label)
+    for module in (ranking, scores):
+        monkeypatch.setattr(module, "stage", recorded)
+    plans.append(plan_of(Inputs(spark, SMALL).build_performance()))
+    windows = [line for plan in plans for line in plan.splitlines() if "Window [" in line]
+    assert windows
+    for plan in plans:
+        # the only single-partition exchanges are those of one-row aggregates: counts, minimum and maximum
+        assert "Window [" not in plan or "SinglePartition" not in plan
+    # every window is keyed: by the slice, or over the totals of slices by the column ranked
+    assert all("_slice" in line or "column" in line for line in windows)
 
 
 def test_properties_of_the_mart(spark):

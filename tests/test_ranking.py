@@ -138,3 +138,11 @@ def test_no_window_over_all_rows(spark, rows):
     # windows are keyed by the slice besides the group
     assert all("_slice" in line for line in grouped.splitlines() if "Window [" in line and "_offset" not in line
                and "_slice_n" not in line)
+
+
+def test_several_columns_in_one_slicing(spark, rows):
+    both = rows.withColumn("y", F.when(F.col("x") > 3, -F.col("x")))
+    got = ranking.attach_percent_ranks(both, {"x": "px", "y": "py"})
+    assert set(got.columns) == {*both.columns, "px", "py"}
+    apart = ranking.percent_rank(ranking.percent_rank(both, "x", "key", "px"), "y", "key", "py")
+    assert got.exceptAll(apart.select(*got.columns)).count() == 0 and got.count() == both.count()

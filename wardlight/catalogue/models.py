@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wardlight import fixed_values as fv
 from wardlight.catalogue import oracle as o
 from wardlight.catalogue.registry import Inputs, query
-from wardlight.catalogue.relational import PLACED
+from wardlight.catalogue.relational import MEDIAN_COLS, PLACED
 from wardlight.ml import explain, metrics, scoring, split, train
 from wardlight.operators import aggregates as agg
 from wardlight.operators import joins
@@ -25,11 +25,11 @@ def _(i: Inputs):
     return features.build_features(i.performance)
 
 
-IMPUTED = ("overall_patient_experience_score", "nurse_communication_score", "overall_rating")
+IMPUTED = MEDIAN_COLS
 
 
 @query("impute_median", f"SELECT provider_id, " + ", ".join(
-    f"coalesce(CAST({c} AS DOUBLE), (SELECT CAST(median({c}) AS DOUBLE) FROM {M})) AS {c}" for c in IMPUTED)
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(CAST(median({c}) AS DOUBLE), 0) FROM {M})) AS {c}" for c in IMPUTED)
     + f" FROM {M}", IMPUTED)
 def _(i: Inputs):
     return features.impute_median(i.performance.select(KEY, *IMPUTED), IMPUTED)

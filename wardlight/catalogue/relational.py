@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from wardlight import fixed_values as fv
 from wardlight.catalogue import oracle as o
@@ -317,15 +318,21 @@ def _(i: Inputs):
     return agg.box_stats(i.table("lineitem"), "l_extendedprice")
 
 
-MEDIAN_COLS = ("overall_patient_experience_score", "nurse_communication_score", "cleanliness_score",
-               "composite_quality_score", "readm_stroke", "overall_rating")
+# Every numeric column of the performance table.
+MEDIAN_COLS = """overall_rating readm_heart_failure readm_pneumonia readm_hip_knee readm_copd readm_stroke readm_heart_attack
+    avg_readmission_score overall_patient_experience_score nurse_communication_score doctor_communication_score
+    recommendation_score cleanliness_score ed_throughput_score door_to_ct_score sepsis_care_score avg_timely_care_score year
+    readmission_performance_score timely_care_score_0_100 composite_quality_score readmission_risk_score diabetes_prevalence
+    obesity_prevalence smoking_prevalence poor_mental_health_days no_health_insurance_rate physical_inactivity_rate
+    community_health_burden_score burden_tertile readmission_pct_rank quality_pct_rank""".split()
 
 
 @query("medians", " UNION ALL ".join(
     f"SELECT {o.q(x)} AS column_name, coalesce(CAST(median({x}) AS DOUBLE), 0) AS median FROM {M}" for x in MEDIAN_COLS),
        ["median"])
 def _(i: Inputs):
-    return agg.medians(i.performance, MEDIAN_COLS)
+    numeric = [f.name for f in i.performance.schema.fields if isinstance(f.dataType, NumericType)]
+    return agg.medians(i.performance, numeric)
 
 
 @query("bounds", "SELECT min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem", ["low", "high"])

@@ -1,15 +1,71 @@
-"""Data-quality checks; each is a one-row table (name, ok, value)."""
+"""Data-quality checks: a report has a row (name, ok, value) for each.
+
+A check says what it counts; `compiled` puts all checks of a table together. Counts of rows and NULLs are one aggregate, and
+a histogram of a column, of a row for each of its values, serves all checks of that column's values. So a table is read
+once, and once more for each column whose values are looked at, however many checks there are.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight import fixed_values as fv
-from wardlight.operators.aggregates import max_share, null_rate
+
+
+@dataclass(frozen=True)
+class Check:
+    """`value` of a check from counts, and whether that is right. `count` is an aggregate over rows; with `by`, over the
+    rows (`by`, `n`) of a histogram of that column."""
+    name: str
+    count: Callable[[], Column]
+    ok: Callable[[Column], Column]
+    by: str | None = None
+
+
+def not_null(c: str, name: str | None = None) -> Check:
+    """Value: number of rows in which the column is NULL."""
+    return Check(name or f"{c} not null", lambda: F.count_if(F.col(c).isNull()), lambda v: v == 0)
+
+
+def unique(c: str, name: str | None = None) -> Check:
+    """Value: number of known keys that occur more than once."""
+    return Check(name or f"{c} unique", lambda: F.count_if(F.col(c).isNotNull() & (F.col("n") > 1)), lambda v: v == 0, c)
+
+
+def min_rows(floor: int = fv.MART_ROW_FLOOR, name: str | None = None) -> Check:
+    return Check(name or f"row count > {floor}", lambda: F.count(F.lit(1)), lambda v: v > floor)
+
+
+def max_null_rate(c: str, limit: float = fv.MAX_NULL_RATE, name: str | None = None) -> Check:
+    """Value: share of rows in which the column is NULL, 0 of an empty table."""
+    rate = lambda: F.coalesce(F.try_divide(F.count_if(F.col(c).isNull()).cast("double"), F.count(F.lit(1))), F.lit(0.0))
+    return Check(name or f"{c} null rate < {limit:.0%}", rate, lambda v: v < limit)
+
+
+def max_category_share(c: str, limit: float = fv.MAX_LABEL_SHARE, name: str | None = None) -> Check:
+    """Value: share of the most frequent value, NULL as one of them; 0 of an empty table."""
+    share = lambda: F.coalesce(F.try_divide(F.max("n").cast("double"), F.sum("n")), F.lit(0.0))
+    return Check(name or f"{c} max category share <= {limit:.0%}", share, lambda v: v <= limit, c)
+
+
+def compiled(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The report of all checks of a table."""
+    groups: dict[str | None, list[Check]] = {}
+    for check in checks:
+        groups.setdefault(check.by, []).append(check)
+    parts = []
+    for by, group in groups.items():
+        rows = df if by is None else df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+        counts = rows.agg(*[check.count().cast("double").alias(f"v{k}") for k, check in enumerate(group)])
+        entries = F.array(*[F.struct(F.lit(check.name).alias("name"), check.ok(F.col(f"v{k}")).alias("ok"), F.col(f"v{k}").alias("value"))
+                            for k, check in enumerate(group)])
+        parts.append(counts.select(F.explode(entries).alias("c")).select("c.*"))
+    return run_checks(parts)
 
 
 def _check(row: DataFrame, name: str, ok: Column, value: Column) -> DataFrame:
@@ -17,31 +73,23 @@ def _check(row: DataFrame, name: str, ok: Column, value: Column) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, c: str, name: str | None = None) -> DataFrame:
-    """Value: number of rows in which the column is NULL."""
-    row = df.agg(F.count_if(F.col(c).isNull()).alias("v"))
-    return _check(row, name or f"{c} not null", F.col("v") == 0, F.col("v"))
+    return compiled(df, [not_null(c, name)])
 
 
 def check_unique(df: DataFrame, c: str, name: str | None = None) -> DataFrame:
-    """Value: number of known keys that occur more than once."""
-    repeated = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    row = repeated.agg(F.count(F.lit(1)).alias("v"))
-    return _check(row, name or f"{c} unique", F.col("v") == 0, F.col("v"))
+    return compiled(df, [unique(c, name)])
 
 
 def check_min_rows(df: DataFrame, floor: int = fv.MART_ROW_FLOOR, name: str | None = None) -> DataFrame:
-    row = df.agg(F.count(F.lit(1)).alias("v"))
-    return _check(row, name or f"row count > {floor}", F.col("v") > floor, F.col("v"))
+    return compiled(df, [min_rows(floor, name)])
 
 
 def check_null_rate(df: DataFrame, c: str, limit: float = fv.MAX_NULL_RATE, name: str | None = None) -> DataFrame:
-    v = F.coalesce("null_rate", F.lit(0.0))
-    return _check(null_rate(df, c), name or f"{c} null rate < {limit:.0%}", v < limit, v)
+    return compiled(df, [max_null_rate(c, limit, name)])
 
 
 def check_max_share(df: DataFrame, c: str, limit: float = fv.MAX_LABEL_SHARE, name: str | None = None) -> DataFrame:
-    v = F.col("max_share")
-    return _check(max_share(df, c), name or f"{c} max category share <= {limit:.0%}", v <= limit, v)
+    return compiled(df, [max_category_share(c, limit, name)])
 
 
 def check_not_empty(df: DataFrame, name: str) -> DataFrame:
@@ -77,20 +125,17 @@ def require_passed(report: DataFrame) -> None:
 
 def performance_gate(mart: DataFrame, floor: int = fv.MART_ROW_FLOOR, models: dict[str, str] | None = None) -> DataFrame:
     """Gates of the performance table: rows, unknown scores, dominance of one label; and that stored models are there."""
-    checks = [
-        check_min_rows(mart, floor),
-        check_null_rate(mart, "composite_quality_score"),
-        check_max_share(mart, "readmission_risk_label"),
-    ]
-    return run_checks([*checks, check_paths_exist(mart.sparkSession, models)] if models else checks)
+    report = compiled(mart, [min_rows(floor), max_null_rate("composite_quality_score"), max_category_share("readmission_risk_label")])
+    return run_checks([report, check_paths_exist(mart.sparkSession, models)] if models else [report])
 
 
 def schema_tests(staged: dict[str, DataFrame]) -> DataFrame:
     """Key tests of staging and mart tables: ids present and unique, regions by state."""
-    checks = []
+    reports = []
     for table, df in staged.items():
         key = "state" if table in ("stg_community_health", "mart_regional_summary") else "provider_id"
-        checks.append(check_not_null(df, key, f"{table}.{key} not null"))
+        checks = [not_null(key, f"{table}.{key} not null")]
         if table != "stg_community_health":
-            checks.append(check_unique(df, key, f"{table}.{key} unique"))
-    return run_checks(checks)
+            checks.append(unique(key, f"{table}.{key} unique"))
+        reports.append(compiled(df, checks))
+    return run_checks(reports)

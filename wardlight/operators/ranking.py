@@ -18,7 +18,7 @@ NULL order keys sort last, as in the reference SQL dialect.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,6 +95,26 @@ def positions_of_counts(counts: DataFrame, value: str, by: Sequence[str] = (), a
     return placed.select(*by, value, "n", *extra, before.alias("n_before"), "group_n")
 
 
+def column_positions(df: DataFrame, values: Sequence[str]) -> DataFrame:
+    """(column, value, n, n_before, group_n) of several number columns, each ranked by itself, in one slicing.
+
+    Columns and values are one long table; it is counted, cut into ranges and stored once, however many columns there are.
+    """
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                          for c in values])).alias("p")).select("p.*")
+    return value_positions(pairs, "value", ["column"])
+
+
+def attach_percent_ranks(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
+    """``percent_rank() over (order by value nulls last)`` of each column of `ranks`, under the name it gives."""
+    positions = stage(column_positions(df, list(ranks)), "positions")
+    for c, out in ranks.items():
+        own = positions.where(F.col("column") == c).select(F.col("value").alias(c), "n_before", "group_n")
+        share = F.col("n_before").cast("double") / F.nullif((F.col("group_n") - 1).cast("double"), F.lit(0.0))
+        df = _join_on_values(df, own, [c], "left").withColumn(out, F.coalesce(share, F.lit(0.0))).drop("n_before", "group_n")
+    return df
+
+
 def _join_on_values(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Null-safe equality join that keeps the left copies of the key columns."""
     renamed = right
@@ -193,8 +213,9 @@ def ntile(df: DataFrame, tiles: int, value: str, key: str, out: str) -> DataFram
     Only the last row of each tile is looked for, ``tiles - 1`` rows in all; the
     tile of any other row then follows from comparing it with those.
     """
-    places = row_positions(df, value, key)
-    n = df.count()
+    places = numbered_in(df.select(value, key), value, key, size="_rows")
+    first = places.select("_rows").first()
+    n = first["_rows"] if first else 0
     size, longer = divmod(n, tiles)
     last_rows = [t * size + min(t, longer) for t in range(1, tiles)]
     cuts = places.where(F.col("row_number").isin(last_rows)).collect() if n else []

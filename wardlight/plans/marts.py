@@ -8,7 +8,6 @@ from wardlight import fixed_values as fv
 from wardlight.functions import columns
 from wardlight.operators import ranking
 from wardlight.operators.aggregates import regional_summary
-from wardlight.workspace import in_parallel
 
 READMISSION_COLUMNS = (*fv.READMISSION_MEASURES, "avg_readmission_score", *fv.READMISSION_COMPARISONS)
 
@@ -16,11 +15,7 @@ READMISSION_COLUMNS = (*fv.READMISSION_MEASURES, "avg_readmission_score", *fv.RE
 def hospital_performance(contextual: DataFrame) -> DataFrame:
     """Adds the global percent ranks and the labels cut from them."""
     ranks = {"readmission_risk_score": "readmission_pct_rank", "composite_quality_score": "quality_pct_rank"}
-    positions = in_parallel(contextual.sparkSession, *[
-        lambda c=c: ranking.value_positions(contextual, c) for c in ranks])
-    ranked = contextual
-    for (c, out), placed in zip(ranks.items(), positions):
-        ranked = ranking.attach_percent_rank(ranked, placed, c, "provider_id", out)
+    ranked = ranking.attach_percent_ranks(contextual, ranks)
     return (ranked
             .withColumn("readmission_risk_label",
                         columns.bucket_label("readmission_pct_rank", fv.RISK_LABEL_RULES, fv.RISK_LABEL_DEFAULT))
