@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -74,19 +75,86 @@ PAGE = ('<html><body class="x"><nav><a>menu</a></nav><div id="cookie-notice">coo
         '<div class="related">r</div><footer>foot</footer></body></html>')
 
 
+def article(page):
+    return [block for block, _ in html_text.article(html_text.parse(page))]
+
+
 def test_article():
-    assert html_text.article(html_text.parse(PAGE.format(n=1, ad=""))) == ["Ti&tle 1", "A b1c", "d e f", "1", "2", "Follow us"]
-    assert html_text.article(html_text.parse("just text <b>here")) == ["just text here"]
-    assert html_text.article(html_text.parse("<div>a</div><footer>b</footer><p>c < d</p>")) == ["a", "c < d"]
-    assert html_text.article(html_text.parse("<!-- open <p>x")) == [] and html_text.article(html_text.parse("")) == []
-    assert html_text.article(html_text.parse("<p title='>'>x</p></div></p><script>y")) == ["x"]
+    assert article(PAGE.format(n=1, ad="")) == ["Ti&tle 1", "A b1c", "d e f", "1", "2", "Follow us"]
+    assert article("just text <b>here") == ["just text here"]
+    assert article("<div>a</div><footer>b</footer><p>c < d</p>") == ["a", "c < d"]
+    assert article("<!-- open <p>x") == [] and article("") == []
+    assert article("<p title='>'>x</p></div></p><script>y") == ["x"]
 
 
 def test_alignment():
-    own, reference = "page(html(body(nav(ul(li)) div article(h1 p) footer)))", "page(html(body(nav(ul(li)) article(h1 p ul(li)) footer)))"
-    slots = html_text.aligned(own, reference)
-    assert slots[0] == 0 and slots[7] == 6 and slots[10] == 11 and 6 not in slots
-    assert html_text.aligned(own, own)[10] == 10
+    own = "page ( html ( body ( nav ( ul ( li ) ) div article ( h1 p ) footer ) ) )"
+    reference = "page ( html ( body ( nav ( ul ( li ) ) article ( h1 p ul ( li ) ) footer ) ) )"
+    score, slots = html_text.aligned(own, reference)
+    assert slots[0] == 0 and slots[7] == 6 and slots[10] == 11 and 6 not in slots and score == 20 / 23
+    assert html_text.aligned(own, own) == (1.0, {k: k for k in range(11)})
+
+
+def plain_match(a, b):
+    """Most nodes of two trees (label, children) that match in order under matching parents."""
+    if a[0] != b[0]:
+        return 0
+    table = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+    for i, x in enumerate(a[1], 1):
+        for j, y in enumerate(b[1], 1):
+            table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + plain_match(x, y))
+    return 1 + table[-1][-1]
+
+
+def test_alignment_against_brute_force():
+    rnd = random.Random(1)
+
+    def tree(depth):
+        return rnd.choice("pqr"), [tree(depth - 1) for _ in range(rnd.randrange(4))] if depth else []
+
+    def written(t):
+        return t[0] + (" ( " + " ".join(map(written, t[1])) + " )" if t[1] else "")
+
+    def size(t):
+        return 1 + sum(map(size, t[1]))
+    for _ in range(300):
+        a, b = ("page", [tree(3) for _ in range(3)]), ("page", [tree(3) for _ in range(3)])
+        score, pairs = html_text.aligned(written(a), written(b))
+        assert len(pairs) == plain_match(a, b) == round(score * (size(a) + size(b)) / 2)
+        assert len(set(pairs.values())) == len(pairs)
+
+
+def test_sibling_articles_names_and_depth():
+    assert article("<article>part one</article><article>part two</article>") == ["part one", "part two"]
+    told = "".join(f"<div class='{c}'>{c}</div>" for c in ("promotion-history", "share-of-vote", "table-widget", "share-buttons", "comment-list", "adSlot"))
+    assert article(f"<article><p>x</p>{told}<p id=related-posts>y</p></article>") == ["x", "promotion-history", "share-of-vote", "table-widget"]
+    deep = "<div>" * 5000 + "inside" + "<p>more"
+    root = html_text.parse(deep)
+    assert article(deep) == ["inside", "more"]
+    outline = html_text.Outline(root).written
+    assert html_text.aligned(outline, outline)[0] == 1.0 and html_text.aligned(outline, outline + " ")[0] == 1.0
+    assert html_text.aligned(outline, html_text.Outline(html_text.parse(deep + "<ul><li>z")).written)[0] > 0.9
+
+
+def test_two_layouts_without_telling_names(spark):
+    """Boilerplate has no telling names and differs by layout; words of it in another slot stay."""
+    def one(k):
+        return (f"<body><div>Home</div><div><p>Notice of A</p><h1>Title {k}</h1><p>Text {k} of it</p><p>More {k}</p></div>"
+                f"<div><span>Imprint</span></div></body>")
+
+    def two(k):
+        return (f"<body><table><tr><td>Start</td><td><h2>Head {k}</h2><blockquote>Quote {k}</blockquote><p>Home</p><p>{k} again</p>"
+                f"<p>{k} and again</p></td></tr></table><ul><li>B</li><li>Contact</li></ul><h3>All rights</h3></body>")
+    pages = [(k, "http://h.org/", one(k) if k % 5 < 3 else two(k)) for k in range(60)]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    out = {r.page_id: r.text for r in html_text.main_text(table).collect()}
+    for k in range(60):
+        want = [f"Title {k}", f"Text {k} of it", f"More {k}"] if k % 5 < 3 else [f"Head {k}", f"Quote {k}", f"{k} again", f"{k} and again"]
+        assert out[k].split("\n\n") == want
+    # the template word as a paragraph of one article
+    odd = one(7).replace("<p>More 7</p>", "<p>More 7</p><p>Home</p>")
+    table = spark.createDataFrame([(k, u, odd if k == 7 else h) for k, u, h in pages], "page_id bigint, url string, html string")
+    assert html_text.main_text(table).where("page_id = 7").first().text.split("\n\n") == ["Title 7", "Text 7 of it", "More 7", "Home"]
 
 
 def test_templates(spark):
