@@ -41,7 +41,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The order is that of the part files, by their numbers, and of the rows in them: `docs` are files that Spark wrote. Where
     a name holds no part number the job fails.
     """
-    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    part = F.nullif(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1), F.lit("")).cast("long")
     placed = docs.select("doc_id", "text", F.struct(
         F.coalesce(part, F.raise_error(F.concat(F.lit("no part number: "), F.col("_metadata.file_name"))).cast("long")).alias("part"),
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias("place"))
