@@ -303,13 +303,19 @@ def _run(layer: Layer, at: int, run: str) -> tuple[bool, Iterator[tuple[Layer, b
     return False, ((placed(text, np.ones(len(text), np.int64), skip), False) for text, skip in others)
 
 
-def _inner(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
-    """The layers one step inside a layer, and whether each is cut off."""
-    if "%" in layer.text:
-        yield _replaced(layer, PERCENT, _percent), False
-    if "\\" in layer.text or "&#" in layer.text:
-        yield _replaced(layer, ESCAPE, _escape), False
-    yield from _base64(layer)
+def _inner(layer: Layer) -> Iterator[tuple[Layer | None, bool, bool]]:
+    """The layers one step inside a layer, whether each is cut off, and whether it is the last.
+
+    Escapes over the whole layer come last: who takes the last one needs this layer no more. So text that is escaped any
+    number of times over holds one layer at a time; those of base64 are held while they get shorter by a quarter each.
+    """
+    percent, escapes = "%" in layer.text, "\\" in layer.text or "&#" in layer.text
+    for inner, cut in _base64(layer):
+        yield inner, cut, False
+    if escapes:
+        yield _replaced(layer, ESCAPE, _escape), False, not percent
+    if percent:
+        yield _replaced(layer, PERCENT, _percent), False, True
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
@@ -319,10 +325,10 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     # a layer's inner ones are made one at a time, and searched before the next
     work = [_inner(Layer(text))]
     while work:
-        inner, short = next(work[-1], (None, None))
-        if short is None:
+        inner, short, last = next(work[-1], (None, None, True))
+        if last:
             work.pop()
-        elif inner is not None and inner.text:
+        if inner is not None and inner.text:
             cut += short
             mark = hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), *inner.span(0, len(inner.text))
             if mark not in seen:
