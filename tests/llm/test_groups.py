@@ -149,6 +149,33 @@ def test_schedule(spark):
             assert all(abs(c - w * slot / period) < 1 for c, w in zip(count, weights))
 
 
+def test_schedules_of_any_weights(spark):
+    rnd = random.Random(12)
+    for _ in range(12):
+        weights = rnd.choices([1, 1, 1, 2, 3, 7], k=rnd.randrange(1, 12)) if rnd.random() < 0.7 else rnd.choices([2, 2, 2, 5, 9], k=6)
+        names = [None, *(f"s{k:03d}" for k in range(1, len(weights)))]
+        sources = spark.createDataFrame(list(zip(names, weights)), "source string, weight int").repartition(3)
+        found = sorted(mixing.schedule(sources).collect(), key=lambda r: r.slot)
+        assert [(names.index(r.source), r.kth) for r in found] == plain_schedule(weights)
+
+
+def test_many_sources_and_large_weights(spark):
+    """No limit on sources or the period; at every slot each source is less than a block off its share."""
+    rows = [(f"h{k:06d}", 1) for k in range(50_000)] + [("big", 900), ("mid", 77), ("h00", 3)]
+    out = mixing.schedule(spark.createDataFrame(rows, "source string, weight int")).toPandas().sort_values("slot")
+    period = 50_980
+    assert out.slot.tolist() == list(range(period)) and set(out.period) == {period}
+    for source, w in rows[-3:] + rows[:50_000:9_999]:
+        mine = out[out.source == source].slot.to_numpy()
+        k = np.arange(w)
+        assert (mine >= k * period // w).all() and (mine < -(-(k + 1) * period // w)).all()
+    heavy = spark.createDataFrame([("a", 20_001), ("b", 29_999), ("c", 1)], "source string, weight int")
+    out = mixing.schedule(heavy).toPandas().sort_values("slot")
+    for source, w in (("a", 20_001), ("b", 29_999), ("c", 1)):
+        done = np.cumsum(out.source == source)
+        assert (abs(done - w * np.arange(1, len(out) + 1) / 50_001) < 1).all()
+
+
 def test_mix(spark):
     rnd = random.Random(4)
     rows = [(k, rnd.choice(["a", "a", "a", "b", "c", None]), "t", 0) for k in range(900)] + [(5, "a", "t", 0), (None, "b", None, 0)]

@@ -5,9 +5,13 @@ cut into blocks. Block k of a source with weight w is released at slot floor(k *
 ceil((k + 1) * period / w). In every slot the released block that is due first goes next. For one processor this meets
 all times, so at every slot each source has had less than one block more or less than its share.
 
-The schedule of one period is a fixed list, whatever the number of rows: it is worked out once, from a row with an entry
-for each source, and repeats. A block's slot, and the place of its rows, follow from it by arithmetic. A source that has
-run out leaves its slots empty and the others close up, so their shares among each other stay.
+The schedule of one period repeats. Sources of the most frequent weight have the same times, so in it they go round in the
+order of their names: they are one class, whose blocks are numbered through. Only the other sources, those to which a weight
+was given, are told apart when the schedule is worked out. This takes one row, in which the class moves on by as many blocks
+as nothing else comes in between, so it takes steps in proportion to the sum of the given weights, whatever the number of
+sources or the length of the period. A block's slot follows by arithmetic, and from the rows of all blocks before it, added
+up over ranges of slots, its position. A source that has run out leaves its slots empty and the others close up, so their
+shares among each other stay.
 
 Rows are numbered within a source by pieces: a piece is one of 65,536 values of the hash, its rows are numbered in a
 window, and the pieces before it are added up from their counts. No task holds a whole source.
@@ -17,13 +21,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardlight.llm.common import stage
+from wardlight.operators import ranking
+
 BLOCK_ROWS = 64
-#: Most sources, and the longest period: the schedule is one row of that size.
-MOST_SOURCES, LONGEST_PERIOD = 10_000, 100_000
+#: Steps of the schedule that are gathered before they are put to the others.
+CHUNK = 256
 
 
 def source_weights(docs: DataFrame, weights: Mapping[str, int], default: int = 1) -> DataFrame:
@@ -37,38 +44,102 @@ def source_weights(docs: DataFrame, weights: Mapping[str, int], default: int = 1
         "source", F.coalesce(known, F.lit(default)).alias("weight"), "rows")
 
 
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+PICK = "array<struct<i:int,first:bigint,slot:bigint,length:bigint>>"
+
+
+def _picks(period: Column, weights: Column, before: Column, members: Column, d: Column) -> Column:
+    """Who goes when in one period, earliest deadline first, in order: `length` slots from `slot` on for the blocks of source i
+    from `first` on; i is -1 for the class.
+
+    `weights` are those of the sources told apart, in order of name, and `before` how many members of the class come before
+    each; the class has `members` sources of weight `d`. Of blocks due at once that of the first name goes.
+    """
+    nobody = F.lit(None).cast("struct<due:bigint,i:int>")
+
+    def ready(t: Column, done: Column) -> Column:
+        def one(k, i):
+            w = F.get(weights, i)
+            return F.when((k < w) & (k * period < (t + 1) * w), F.struct(_div((k + 1) * period + w - 1, w).alias("due"), i.alias("i")))
+        return F.coalesce(F.array_min(F.transform(done, one)), nobody)
+
+    def released_next(t: Column, done: Column) -> Column:
+        return F.array_min(F.transform(done, lambda k, i: F.when(
+            (k < F.get(weights, i)) & (k * period >= (t + 1) * F.get(weights, i)), _div(k * period, F.get(weights, i)))))
+
+    def step(state: Column, _: Column) -> Column:
+        t, n, done, picks = (state[c] for c in ("t", "n", "done", "picks"))
+
+        def decide(c: Column) -> Column:
+            k, q = _div(n, members), n % members
+            due = _div((k + 1) * period + d - 1, d)
+            tie = due == c["due"]
+            there = (n < members * d) & (k * period < (t + 1) * d)
+            first = there & (c["due"].isNull() | (due < c["due"]) | (tie & (q < F.get(before, c["i"]))))
+            run = F.least(members - q, released_next(t, done) - t, F.when(tie, F.get(before, c["i"]) - q))
+            pick = F.when(first, F.struct(F.lit(-1).alias("i"), n.alias("first"), t.alias("slot"), run.alias("length"))).otherwise(
+                F.struct(c["i"].alias("i"), F.get(done, c["i"]).alias("first"), t.alias("slot"), F.lit(1).cast("long").alias("length")))
+            return pick
+
+        def after(pick: Column) -> Column:
+            ours = pick["i"] == -1
+            return F.struct((t + pick["length"]).alias("t"), F.when(ours, n + pick["length"]).otherwise(n).alias("n"),
+                            F.transform(done, lambda k, i: F.when(i == pick["i"], k + 1).otherwise(k)).alias("done"),
+                            F.concat(picks, F.array(pick)).alias("picks"))
+        return F.when(t < period, _let(_let(ready(t, done), decide), after)).otherwise(state)
+
+    zero, none = F.lit(0).cast("long"), F.array().cast(PICK)
+    start = F.struct(zero.alias("t"), zero.alias("n"), F.transform(weights, lambda w: zero).alias("done"), F.array(none).alias("all"))
+
+    def chunk(state: Column, _: Column) -> Column:
+        begin = F.struct(state["t"].alias("t"), state["n"].alias("n"), state["done"].alias("done"), none.alias("picks"))
+        return _let(F.aggregate(F.sequence(F.lit(1), F.lit(CHUNK)), begin, step), lambda s: F.struct(
+            s["t"].alias("t"), s["n"].alias("n"), s["done"].alias("done"), F.concat(state["all"], F.array(s["picks"])).alias("all")))
+    # a step for each block told apart, and runs of the class that end with one of these, with a release, or with a round of it
+    steps = F.aggregate(weights, zero, lambda a, w: a + w) * 3 + d + 1
+    return F.flatten(F.aggregate(F.sequence(zero, _div(steps, F.lit(CHUNK))), start, chunk, lambda s: s["all"]))
+
+
 def schedule(sources: DataFrame) -> DataFrame:
-    """A row for each slot of one period: source, weight, `kth` of the source's blocks in the period, slot, period; and
-    for all sources in one order their weights, rows and blocks before the slot."""
-    one = (sources.agg(F.array_sort(F.collect_list(F.struct("source", "weight", "rows"))).alias("all"))
-           .where(F.size("all") > 0)
-           .select("all", F.transform("all", lambda s: s["weight"].cast("long")).alias("weights"),
-                   F.transform("all", lambda s: s["rows"]).alias("rows"))
-           .withColumn("period", F.aggregate("weights", F.lit(0).cast("long"), lambda a, w: a + w))
-           .withColumn("period", F.when(
-               (F.size("all") <= MOST_SOURCES) & (F.col("period") <= LONGEST_PERIOD), F.col("period"))
-               .otherwise(F.raise_error(F.lit("too many sources, or too large weights")).cast("long"))))
-    period, weights = F.col("period"), F.col("weights")
-
-    def due_first(done, slot):
-        def rank(i):
-            k, w = F.get(done, i), F.get(weights, i)
-            due = F.floor(((k + 1) * period + w - 1) / w)
-            return F.when((k < w) & (k * period < (slot + 1) * w), F.struct(due.alias("due"), i.alias("i")))
-        return F.array_min(F.transform(F.sequence(F.lit(0), F.size(weights) - 1), rank))["i"]
-
-    def step(state, slot):
-        i = due_first(state["done"], slot)
-        pick = F.struct(i.alias("i"), slot.alias("slot"), F.get(state["done"], i).alias("kth"), state["done"].alias("before"))
-        return F.struct(F.transform(state["done"], lambda n, at: F.when(at == i, n + 1).otherwise(n)).alias("done"),
-                        F.concat(state["picks"], F.array(pick)).alias("picks"))
-    empty = F.struct(F.transform(weights, lambda w: F.lit(0).cast("long")).alias("done"),
-                     F.array().cast("array<struct<i:int,slot:bigint,kth:bigint,before:array<bigint>>>").alias("picks"))
-    picks = F.aggregate(F.sequence(F.lit(0).cast("long"), period - 1), empty, step, lambda s: s["picks"])
-    return (one.select("all", "weights", "rows", "period", F.explode(picks).alias("p"))
-            .select(F.get("all", F.col("p.i"))["source"].alias("source"), F.get("weights", F.col("p.i")).alias("weight"),
-                    "p.kth", "p.slot", "period", F.col("weights").alias("all_weights"), F.col("rows").alias("all_rows"),
-                    F.col("p.before").alias("all_before")))
+    """source, weight, `kth` of the source's blocks in the period, slot and period: a row for each source and block of one period.
+
+    `sources` has source and weight, each source once.
+    """
+    named = sources.select("source", F.col("weight").cast("long").alias("weight"), F.struct(F.col("source").isNotNull(), "source").alias("key"))
+    placed = stage(ranking.numbered_in(named, "key", "key", out="g").select("source", "weight", "g"), "sources")
+    common = placed.groupBy("weight").agg(F.count("*").alias("n")).agg(F.max_by("weight", F.struct("n", -F.col("weight"))).alias("d"))
+    own = F.when(F.col("weight") != F.col("d"), F.struct("g", "source", "weight"))
+    one = (placed.crossJoin(F.broadcast(common)).groupBy("d").agg(  # one row
+        F.sum("weight").alias("period"), F.count_if(F.col("weight") == F.col("d")).alias("members"),
+        F.array_sort(F.collect_list(own)).alias("named"))  # those with a weight of their own, as many as were given
+        .withColumn("picks", _picks(F.col("period"), F.transform("named", lambda x: x["weight"]),
+                                    F.transform("named", lambda x, i: x["g"] - 1 - i), F.col("members"), F.col("d"))))
+    one = stage(one, "schedule")
+    picks = one.select("d", "period", "members", "named", F.explode("picks").alias("p")).select("*", "p.*")
+    told = picks.where("i >= 0").select(
+        F.get("named", F.col("i"))["source"].alias("source"), F.get("named", F.col("i"))["weight"].alias("weight"), F.col("first").alias("kth"), "slot", "period")
+    # members of the class: the n-th block of the class lies in one of its runs; both are dealt by ranges of n
+    span = F.greatest(F.lit(1).cast("long"), _div(F.col("members") * F.col("d"), F.size("named") + 1))
+    runs = picks.where("i < 0").select("first", "slot", "length", F.explode(F.sequence(
+        _div(F.col("first"), span), _div(F.col("first") + F.col("length") - 1, span))).alias("range"))
+    before = F.size(F.filter("named", lambda x: x["g"] < F.col("g")))
+    members = (placed.crossJoin(F.broadcast(one.select("d", "period", "members", "named", span.alias("span"))))  # one row
+               .where(F.col("weight") == F.col("d")).withColumn("q", F.col("g") - 1 - before)
+               .withColumn("kth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("d") - 1)))
+               .withColumn("n", F.col("kth") * F.col("members") + F.col("q")).withColumn("range", _div(F.col("n"), F.col("span")))
+               .select("source", "weight", "kth", "period", "n", "range"))
+    inside = (members.n >= runs["first"]) & (members.n < runs["first"] + runs["length"])
+    held = members.join(runs, (members.range == runs.range) & inside).select(
+        "source", "weight", "kth", (F.col("slot") + F.col("n") - F.col("first")).alias("slot"), "period")
+    return told.union(held)
 
 
 def numbered(docs: DataFrame, seed: str = "0") -> DataFrame:
@@ -84,22 +155,26 @@ def numbered(docs: DataFrame, seed: str = "0") -> DataFrame:
             .drop("__order", "__piece", "__s", "__p", "__before"))
 
 
-def _placed(docs: DataFrame, weights: Mapping[str, int], default: int, block_rows: int, seed: str) -> DataFrame:
-    """`docs` with `__block`, `__slot` and `__position`, besides columns to be left out."""
-    plan = schedule(source_weights(docs, weights, default))
-    w = plan.where("kth = 0").select(F.col("source").alias("__s"), F.col("weight").alias("__w"))
-    slots = plan.select(F.col("source").alias("__t"), F.col("kth").alias("__k"), F.col("slot").alias("__at"), F.col("period").alias("__period"),
-                        F.col("all_weights").alias("__weights"), F.col("all_rows").alias("__rows"), F.col("all_before").alias("__done"))
-    blocks = (numbered(docs, seed)
-              .join(F.broadcast(w), F.col("source").eqNullSafe(F.col("__s")))  # one row for each source
-              .withColumn("__block", F.floor(F.col("__nth") / block_rows))
-              .withColumn("__round", F.floor(F.col("__block") / F.col("__w")))
-              .withColumn("__kth", F.col("__block") - F.col("__round") * F.col("__w"))
-              .join(F.broadcast(slots), F.col("source").eqNullSafe(F.col("__t")) & (F.col("__kth") == F.col("__k"))))
-    taken = F.zip_with("__weights", "__done", lambda a, b: (F.col("__round") * a + b) * block_rows)
-    before = F.aggregate(F.zip_with("__rows", taken, lambda n, t: F.least(n, t)), F.lit(0).cast("long"), lambda a, x: a + x)
-    return (blocks.withColumn("__slot", F.col("__round") * F.col("__period") + F.col("__at"))
-            .withColumn("__position", before + F.col("__nth") % block_rows))
+def _planned(docs: DataFrame, weights: Mapping[str, int], default: int) -> tuple[DataFrame, DataFrame]:
+    """Stored: the sources with their weights and rows, and the schedule of a period."""
+    sources = stage(source_weights(docs, weights, default), "source-weights")
+    return sources, stage(schedule(sources), "slots")
+
+
+def _slotted(blocks: DataFrame, plan: DataFrame) -> DataFrame:
+    """`blocks` (source, `__block`) with `__slot`. Sides are broadcast while Spark knows them to be small."""
+    w = plan.where("kth = 0").select(F.col("source").alias("__s"), F.col("weight").alias("__w"), F.col("period").alias("__period"))
+    at = plan.select(F.col("source").alias("__t"), F.col("kth").alias("__k"), F.col("slot").alias("__at"))
+    return (blocks.join(w, F.col("source").eqNullSafe(F.col("__s")))
+            .withColumn("__round", _div(F.col("__block"), F.col("__w")))
+            .join(at, F.col("source").eqNullSafe(F.col("__t")) & (F.col("__block") - F.col("__round") * F.col("__w") == F.col("__k")))
+            .withColumn("__slot", F.col("__round") * F.col("__period") + F.col("__at"))
+            .drop("__s", "__w", "__period", "__round", "__t", "__k", "__at"))
+
+
+def _placed(docs: DataFrame, plan: DataFrame, block_rows: int, seed: str) -> DataFrame:
+    """`docs` with `__block`, `__slot` and `__nth`."""
+    return _slotted(numbered(docs, seed).withColumn("__block", _div(F.col("__nth"), F.lit(block_rows))), plan)
 
 
 def mix(docs: DataFrame, weights: Mapping[str, int], default: int = 1, block_rows: int = BLOCK_ROWS,
@@ -112,11 +187,17 @@ def mix(docs: DataFrame, weights: Mapping[str, int], default: int = 1, block_row
     """
     added = ("block", "slot", "position")
     keep = [c for c in docs.columns if c.lower() not in added]
-    return _placed(docs, weights, default, block_rows, seed).select(*keep, *[F.col("__" + c).alias(c) for c in added])
+    sources, plan = _planned(docs, weights, default)
+    of = sources.select("source", "rows", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("rows") - 1, F.lit(block_rows)))).alias("__block"))
+    sizes = _slotted(of, plan).select("__slot", F.least(F.lit(block_rows), F.col("rows") - F.col("__block") * block_rows).alias("n"))
+    before = ranking.positions_of_counts(sizes, "__slot").select(F.col("__slot").alias("__u"), "n_before")
+    placed = _placed(docs.select(*keep), plan, block_rows, seed).join(before, F.col("__slot") == F.col("__u"))
+    position = F.col("n_before") + F.col("__nth") % block_rows
+    return placed.select(*keep, F.col("__block").alias("block"), F.col("__slot").alias("slot"), position.alias("position"))
 
 
 def in_order(docs: DataFrame, weights: Mapping[str, int], default: int = 1, block_rows: int = BLOCK_ROWS,
              seed: str = "0") -> DataFrame:
     """`docs` with the same columns, dealt into consecutive ranges of the mixed order and sorted by it."""
-    return (_placed(docs, weights, default, block_rows, seed).repartitionByRange("__position")
-            .sortWithinPartitions("__position").select(*docs.columns))
+    placed = _placed(docs, _planned(docs, weights, default)[1], block_rows, seed)
+    return placed.repartitionByRange("__slot", "__nth").sortWithinPartitions("__slot", "__nth").select(*docs.columns)
