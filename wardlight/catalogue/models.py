@@ -342,7 +342,7 @@ FROM {M} m JOIN features f ON f.provider_id = m.provider_id
 CROSS JOIN (VALUES ('Readmission Risk Classifier'), ('Quality Score Regressor')) models(model)""")
 def _(i: Inputs):
     text = F.col("explanation")
-    because = fv.EXPLANATION[1]
+    because = " primarily because of "
     return _sentences(i).select(KEY, "model", F.concat(F.substring_index(text, because, 1), F.lit(because)).alias("beginning"),
                                 F.size(F.split(F.substring_index(text, because, -1), ", ")).cast("bigint").alias("n_features"))
 

@@ -124,8 +124,8 @@ FROM (SELECT trim(provider_id) AS provider_id, lower(coalesce(measure_id, measur
 
 def _counties() -> str:
     means = ", ".join(
-        mean(f"CASE WHEN k IN {in_list([stem + s for s in fv.COMMUNITY_SUFFIXES])} OR {has('k', [word])} THEN v END")
-        + f" AS {name}" for name, (stem, word) in fv.COMMUNITY_MEASURES.items())
+        mean(f"CASE WHEN k IN {in_list(ids)} OR {has('k', [word])} THEN v END")
+        + f" AS {name}" for name, (ids, word) in fv.COMMUNITY_MEASURES.items())
     return f"""
 SELECT *, {weighted(fv.BURDEN_COMPONENTS, 0.0)} AS community_health_burden_score
 FROM (SELECT county_fips, state, {means}

@@ -83,8 +83,8 @@ SELECT state, count(*) AS n FROM raw_cdc_places_county
 WHERE lower(measure_id) IN ('csmoking', 'csmoking_crudeprev', 'csmoking_adjprev') OR lower(measure_id) LIKE '%smok%'
 GROUP BY state""")
 def _(i: Inputs):
-    stem, word = fv.COMMUNITY_MEASURES["smoking_prevalence"]
-    hit = c.in_or_like(F.lower("measure_id"), [stem + s for s in fv.COMMUNITY_SUFFIXES], [word])
+    ids, word = fv.COMMUNITY_MEASURES["smoking_prevalence"]
+    hit = c.in_or_like(F.lower("measure_id"), ids, [word])
     return i.raw("cdc_places_county").where(hit).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -41,23 +41,20 @@ EXPERIENCE_MEASURES = {
     "recommendation_score": ("recommend",),
     "cleanliness_score": ("clean",),
 }
-# "sepsis" is left out of the third list: every text holding it also holds "sep".
 TIMELY_MEASURES = {
     "ed_throughput_score": ("ed", "emergency"),
     "door_to_ct_score": ("ct", "stroke"),
-    "sepsis_care_score": ("sep",),
+    "sepsis_care_score": ("sepsis", "sep"),
 }
-# output column -> (measure stem, keyword); a stem also matches with the two
-# suffixes below.
+# output column -> (measure ids, keyword)
 COMMUNITY_MEASURES = {
-    "diabetes_prevalence": ("diabetes", "diabetes"),
-    "obesity_prevalence": ("obesity", "obesity"),
-    "smoking_prevalence": ("csmoking", "smok"),
-    "poor_mental_health_days": ("mhlth", "mental"),
-    "no_health_insurance_rate": ("access2", "insurance"),
-    "physical_inactivity_rate": ("lpa", "physical inactivity"),
+    "diabetes_prevalence": (("diabetes", "diabetes_crudeprev", "diabetes_adjprev"), "diabetes"),
+    "obesity_prevalence": (("obesity", "obesity_crudeprev", "obesity_adjprev"), "obesity"),
+    "smoking_prevalence": (("csmoking", "csmoking_crudeprev", "csmoking_adjprev"), "smok"),
+    "poor_mental_health_days": (("mhlth", "mhlth_crudeprev", "mhlth_adjprev"), "mental"),
+    "no_health_insurance_rate": (("access2", "access2_crudeprev", "access2_adjprev"), "insurance"),
+    "physical_inactivity_rate": (("lpa", "lpa_crudeprev", "lpa_adjprev"), "physical inactivity"),
 }
-COMMUNITY_SUFFIXES = ("", "_crudeprev", "_adjprev")
 
 # --- fixed values: component weights ----------------------------------------
 MEASURE_WEIGHTS = (
@@ -240,7 +237,7 @@ REGRESSOR_GRID = {
 }
 
 # --- fixed values: sentence of an explanation -------------------------------
-EXPLANATION = ("This hospital was flagged ", " primarily because of ", ".")
+EXPLANATION = "This hospital was flagged {label} primarily because of {features}."
 
 # --- fixed values: columns of each result -----------------------------------
 LIST_COLUMNS = (

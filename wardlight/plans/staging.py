@@ -78,8 +78,7 @@ def community_health(raw: DataFrame, weights: Mapping[str, float] | None = None)
         c.parse_numeric("data_value", fv.COMMUNITY_NULLS).alias("value"),
     )
     means = {
-        name: c.in_or_like("measure_key", [stem + s for s in fv.COMMUNITY_SUFFIXES], [word])
-        for name, (stem, word) in fv.COMMUNITY_MEASURES.items()
+        name: c.in_or_like("measure_key", ids, [word]) for name, (ids, word) in fv.COMMUNITY_MEASURES.items()
     }
     weights = weights or component_weights()
     burden = c.weighted_score({k: weights[w] for k, w in fv.BURDEN_COMPONENTS.items()}, fill=0.0)
