@@ -243,6 +243,8 @@ def test_tuning_keeps_the_best(rows):
     fitted = train.fit_regressor(rows, FEATURES, "y", "key", grid={"num_leaves": [2, 8], "n_estimators": [3, 30]}, folds=2)
     assert fitted.best == {"num_leaves": 8, "n_estimators": 30} and -1 < fitted.score < 0
     assert len(fitted.scores) == 4 and fitted.score == max(score for _, score in fitted.scores)
+    wider = train.fit_regressor(rows.withColumn("y", F.col("y") * 1000), FEATURES, "y", "key", grid={"num_leaves": [2, 8], "n_estimators": [3, 30]}, folds=2)
+    assert wider.score == pytest.approx(1000 * fitted.score)  # in units of the target
 
 
 def test_explanations_and_profiles(spark, rows):

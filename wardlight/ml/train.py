@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass, field, replace
 from itertools import product
 
 import numpy as np
@@ -226,7 +226,7 @@ def combinations(grid: Mapping[str, Sequence]) -> list[dict]:
 
 
 def grid_scores(rows: Prepared, s: Settings, grid: Mapping[str, Sequence], folds: int, task_rows: int = TASK_ROWS) -> list[tuple[dict, float]]:
-    """Every combination of the grid with its mean score over the folds (macro F1, or RMSE with a minus).
+    """Every combination of the grid with its mean score over the folds: macro F1, or RMSE of `target` with a minus.
 
     Combinations that differ in the number of rounds alone are one fit, scored on the way. Fits of all combinations and
     folds run side by side, each in a task of its own; beyond `task_rows` rows one after the other, over the table.
@@ -294,7 +294,7 @@ def _fit(df: DataFrame, features: Sequence[str], key: str, target: Column, s: Se
         return Fitted(fit_model(prepare(df, features, key, target, s.classes), s, features, labels), dict(params))
     parted = with_folds(df, key, folds, strata=strata, out="_fold")
     rows = prepare(parted, features, key, target, s.classes, F.col("_fold"))
-    scores = grid_scores(rows, s, grid, folds)
+    scores = [(options, score * (1.0 if s.classes else rows.scale)) for options, score in grid_scores(rows, s, grid, folds)]
     best, score = max(scores, key=lambda x: x[1])
     return Fitted(fit_model(rows, replace(s, **best), features, labels), best, score, scores)
 
@@ -322,7 +322,3 @@ def fit_regressor(df: DataFrame, features: Sequence[str], target: str, key: str,
 def settings_row(fitted: Fitted) -> dict:
     """The chosen settings under the names that reports give them."""
     return {f"best_{name}": value for name, value in fitted.best.items()}
-
-
-__all__ = ["BINS", "Fitted", "Model", "Prepared", "Settings", "asdict", "bin_edges", "class_labels", "combinations", "fit_classifier",
-           "fit_model", "fit_regressor", "grid_scores", "label_index", "prepare", "settings_row"]
