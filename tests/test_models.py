@@ -256,3 +256,44 @@ def test_explanations_and_profiles(spark, rows):
     got = {r.provider_id: r.shap for r in joins.profiles(mart, {"shap": shap}).collect()}
     assert got == {"1": {"a": 0.5, "b": -1.0}, "2": None}
     assert ordering.sample_n(rows, 10, 1, "key").count() == 10
+
+
+# ---- sums and contributions of many rows -----------------------------------------
+
+@pytest.mark.parametrize("s", [boosting.Settings(3, n_estimators=3, max_depth=4, subsample=0.7),
+                               boosting.Settings(0, n_estimators=3, num_leaves=12, min_child_samples=20, l2=0.0)])
+def test_packed_columns_add_up_as_single_ones(s):
+    rnd = np.random.default_rng(8)
+    state = rnd.integers(0, 25, 30_000)
+    codes = np.column_stack([state, state * 3 % 20, state % 7, rnd.integers(0, 64, (30_000, 3)), np.zeros(30_000, int)])
+    columns = boosting.Columns(codes)
+    assert len(columns.packed) < codes.shape[1]
+    target = (codes[:, 3] > 20.0) + (state > 12) * 1.0
+    sums = [(a, np.full_like(a, boosting.UNIT) if b is None else b)
+            for a, b in boosting.derivatives(np.zeros((max(s.classes, 1), 30_000)), target, s)]
+    parts = [np.arange(30_000), np.flatnonzero(state == 3), np.arange(5), np.arange(0)]
+    for first, second in sums:
+        got = columns.histograms(parts, first, second if s.classes else None)
+        for rows, found in zip(parts, got):
+            pair = np.column_stack([first, second])[rows]
+            assert np.array_equal(found, boosting.histograms(codes[rows], pair, np.zeros(len(rows), np.int64), 1)[0])
+    marks, known = rnd.integers(-2 ** 62, 2 ** 62, 30_000), 24_000
+    want = np.zeros((30_000, max(s.classes, 1)))
+    for trees, margins in boosting.boosted(columns, target[:known], marks[:known], s):
+        for k, tree in enumerate(trees):
+            want[:, k] += tree.value[tree.leaf_of(codes)]
+        assert np.array_equal(margins.T, want)  # rows held out and rows not drawn as well
+    own = boosting.Columns(codes[:known])
+    assert np.array_equal(margins[:, :known], [m for _, m in boosting.boosted(own, target[:known], marks[:known], s)][-1])
+
+
+def test_every_fit_has_a_task_of_its_own(spark, rows, monkeypatch):
+    """Also of tables beyond the 200,000 rows that the limit once was."""
+    assert train.TASK_ROWS >= 1_000_000
+    asked = []
+    real = type(spark).range
+    monkeypatch.setattr(type(spark), "range", lambda self, *a, **k: asked.append(a) or real(self, *a, **k))
+    label = F.when(F.col("label") == "High", 0.0).otherwise(1.0)
+    parted = split.with_folds(rows, "key", 3, strata="label", out="_fold")
+    train.grid_scores(train.prepare(parted, FEATURES, "key", label, 2, F.col("_fold")), boosting.Settings(2, n_estimators=1), {"max_depth": [1, 2]}, 3)
+    assert asked == [(0, 6, 1, 6)]
