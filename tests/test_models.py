@@ -297,3 +297,24 @@ def test_every_fit_has_a_task_of_its_own(spark, rows, monkeypatch):
     parted = split.with_folds(rows, "key", 3, strata="label", out="_fold")
     train.grid_scores(train.prepare(parted, FEATURES, "key", label, 2, F.col("_fold")), boosting.Settings(2, n_estimators=1), {"max_depth": [1, 2]}, 3)
     assert asked == [(0, 6, 1, 6)]
+
+
+def test_contributions_by_pattern_are_those_of_rows():
+    rnd = np.random.default_rng(9)
+    n, d = 40, 4
+    columns = np.array([rnd.permutation(6)[:d] for _ in range(n)])
+    low = rnd.choice([-np.inf, 0.2, 0.4], (n, d))
+    high = np.where(np.isinf(low), rnd.choice([0.5, 0.8], (n, d)), rnd.choice([0.6, np.inf], (n, d)))
+    group = Leaves(rnd.normal(size=n), columns, low, high, rnd.uniform(0.1, 0.9, (n, d)))
+    x = rnd.choice([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.9, np.nan], (500, 6))
+    want = np.zeros(x.shape)
+    for leaf, features in enumerate(columns):
+        want[:, features] += explain.leaf_contributions(group, x)[:, leaf]
+    worked = []
+    real, explain._shapley = explain._shapley, lambda leaves, holds: worked.append(len(holds)) or real(leaves, holds)
+    try:
+        assert np.allclose(explain.contributions([group], x), want, atol=1e-12)
+    finally:
+        explain._shapley = real
+    assert worked == [1 << d]  # patterns, not rows
+    assert np.allclose(explain.contributions([group], x[:7]), want[:7], atol=1e-12)  # fewer rows than patterns
