@@ -318,3 +318,26 @@ def test_contributions_by_pattern_are_those_of_rows():
         explain._shapley = real
     assert worked == [1 << d]  # patterns, not rows
     assert np.allclose(explain.contributions([group], x[:7]), want[:7], atol=1e-12)  # fewer rows than patterns
+
+
+@pytest.mark.parametrize("s", [boosting.Settings(3, n_estimators=3, max_depth=2, subsample=0.7, min_child_weight=1e-3),
+                               boosting.Settings(0, n_estimators=3, num_leaves=12, l2=0.0)])
+def test_cells_are_added_up_once(s, monkeypatch):
+    """Both derivatives and the row itself in one number, also beyond the rows whose sum is exact; nothing for the last leaves."""
+    rnd = np.random.default_rng(10)
+    codes = np.column_stack([rnd.integers(0, 64, (150_000, 2)), rnd.integers(0, 3, 150_000)])
+    columns, target = boosting.Columns(codes), rnd.integers(0, 3, 150_000) * 1.0
+    if not s.classes:
+        target *= 1000  # gradients of many units
+    for first, second in boosting.derivatives(np.zeros((max(s.classes, 1), 150_000)), target, s):
+        weights = boosting.Weights(first, second)
+        assert weights.most < 150_000
+        both = np.column_stack([first, np.full_like(first, boosting.UNIT) if second is None else second])
+        for rows in (np.arange(150_000), np.arange(0, 150_000, 2), np.arange(9)):
+            want = boosting.histograms(codes[rows], both[rows], np.zeros(len(rows), np.int64), 1)
+            assert np.array_equal(columns.summed([rows], weights), want)
+    summed, real = [], boosting.Columns.summed
+    monkeypatch.setattr(boosting.Columns, "summed", lambda self, parts, w: summed.append(len(parts)) or real(self, parts, w))
+    for trees, margins in boosting.boosted(columns, target, np.arange(150_000), s):
+        assert sum(summed) == sum(1 + (tree.feature >= 0).sum() - (2 if s.max_depth == 2 and len(tree.feature) == 7 else 0) for tree in trees)
+        summed.clear()
