@@ -74,3 +74,13 @@ def test_approximate_quantiles(spark):
     assert [got["min"], got["max"]] == [0.0, 10_000.0] and abs(got["median"] - 5000) <= 2 and abs(got["q1"] - 2500) <= 2
     assert {r.column_name: abs(r.median - 5000) <= 2 or r.median for r in agg.medians(df, ["x", "y"], 10_000).collect()} == {
         "x": True, "y": 0.0}
+
+
+def test_a_pivot_takes_each_value_apart_once(spark):
+    rows = spark.createDataFrame([("a", "x1", 1.5), ("a", "x2", 2.0 ** 95), ("a", "y", None), ("b", "y", -7.25), ("b", "x1", 0.1)],
+                                 "k string, m string, v double")
+    picked = {"x": F.col("m").startswith("x"), "y": F.col("m") == "y", "all": None}
+    out = agg.pivot(rows, ["k"], "v", picked, text="m", text_max={"last": F.col("v") > 0})
+    assert {r.k: tuple(r)[1:] for r in out.collect()} == {"a": ((2.0 ** 95 + 1.5) / 2, None, (2.0 ** 95 + 1.5) / 2, "x2"),
+                                                           "b": (0.1, -7.25, -3.575, "x1")}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("FLOOR(") == 5
