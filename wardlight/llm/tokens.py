@@ -30,7 +30,8 @@ SHARD_IDS = 1_000_000
 BLOCK_BITS = 512
 #: Texts are encoded in runs of about so many bytes.
 RUN_BYTES = 2 << 20
-#: Most bytes of pieces and ids that a worker remembers, with what a dictionary takes for each; then it begins anew.
+#: Most bytes of pieces and ids in a dictionary of a worker, with what that takes for each. A full one is kept beside the
+#: next, which takes over what is met again, so pieces in use are not learned anew.
 REMEMBERED_BYTES, ENTRY_BYTES = 64 << 20, 170
 #: Marks that may stand behind a word in a piece: ASCII without letters, digits and white space.
 _PIECE = word_table(b" \n")
@@ -70,8 +71,22 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
 
+    def _turn(self) -> None:
+        """A full dictionary becomes the older one."""
+        older = self.known
+        self._forget()
+        self.older = older
+
+    def _recall(self, piece: bytes) -> bool:
+        ids = self.older.get(piece)
+        if ids is None:
+            return False
+        self._remember(piece, ids)
+        return True
+
     def _remember(self, piece: bytes, ids: bytes) -> None:
         self.known[piece] = ids
         self.held += ENTRY_BYTES + len(piece) + len(ids)
@@ -106,7 +121,7 @@ class Encoder:
         known, words, other, parts = self.known, {}, set(), []
         for piece in pieces:
             stem = piece.rstrip(MARKS)
-            if stem not in known and stem not in words:
+            if stem not in known and stem not in words and not self._recall(stem):
                 text = self._letters(stem)
                 if text is None:
                     other.add(piece)
@@ -115,7 +130,7 @@ class Encoder:
             if len(stem) < len(piece):
                 tail = piece[len(stem):]
                 parts.append((piece, stem, tail))
-                if tail not in known:
+                if tail not in known and not self._recall(tail):
                     other.add(tail)
         other.update(self._learn_words(words))
         single = list(other)
@@ -143,9 +158,9 @@ class Encoder:
         new = [p for p in pieces if p not in self.known]
         if new:
             if self.held > REMEMBERED_BYTES:
-                self._forget()
-                new = pieces
-            self._learn(new)
+                self._turn()
+                new = [p for p in pieces if p]
+            self._learn([p for p in new if not self._recall(p)])
         found = [self.known[p] for p in pieces]
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths
@@ -180,9 +195,10 @@ def build(ids: np.ndarray, bits: int) -> tuple[list[bytes], list[bytes], list[in
         packed = np.packbits(ones, bitorder="little")
         planes.append(packed.tobytes())
         ranks.append(_block_ranks(packed).tobytes())
-        low = current[~ones]
+        # compress has no branch for each token, which a mask as index has: bits of ids are as good as random
+        low = current.compress(~ones)
         zeros.append(len(low))
-        current = np.concatenate([low, current[ones]])
+        current = np.concatenate([low, current.compress(ones)])
     return planes, ranks, zeros
 
 
@@ -200,8 +216,8 @@ def decode(planes: list[bytes], zeros: list[int], n: int) -> np.ndarray:
     for level, (plane, low) in enumerate(zip(reversed(planes), reversed(list(zeros)))):
         ones = np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little").view(bool)
         back = np.empty(n, np.uint32)
-        back[~ones] = out[:low]
-        back[ones] = out[low:] | np.uint32(1 << level)
+        back[np.flatnonzero(~ones)] = out[:low]
+        back[np.flatnonzero(ones)] = out[low:] | np.uint32(1 << level)
         out = back
     return out
 
