@@ -84,3 +84,17 @@ def test_a_pivot_takes_each_value_apart_once(spark):
     assert {r.k: tuple(r)[1:] for r in out.collect()} == {"a": ((2.0 ** 95 + 1.5) / 2, None, (2.0 ** 95 + 1.5) / 2, "x2"),
                                                            "b": (0.1, -7.25, -3.575, "x1")}
     assert out._jdf.queryExecution().optimizedPlan().toString().count("FLOOR(") == 5
+
+
+def test_pivot_hashes_and_keeps_the_largest_text(spark):
+    """The largest text of a key and condition, without sorting all rows by key; NULL texts and keys without any included."""
+    rows = [("a", "hf", 1.5, "Worse"), ("a", "hf", None, "b"), ("a", "pn", 2.5, None), (None, "hf", 4.0, "été"), (None, "hf", 5.0, "zz"),
+            ("b", "hf pn", 3.0, ""), ("b", "pn", 5.0, "No Different"), ("b", "pn", 7.0, "No"), ("c", None, 1.0, "x"), ("d", "other", 2.0, "x")]
+    df = spark.createDataFrame(rows, "k string, m string, x double, t string").repartition(5)
+    has = lambda w: F.contains("m", F.lit(w))
+    got = agg.pivot(df, ["k"], "x", {"all": None, "hf": has("hf")}, text="t", text_max={"hf_text": has("hf"), "pn_text": has("pn")})
+    assert got.columns == ["k", "all", "hf", "hf_text", "pn_text"]
+    assert {tuple(r) for r in got.collect()} == {("a", 2.0, 1.5, "b", None), (None, 4.5, 4.5, "été", None), ("b", 5.0, 3.0, "", "No Different"),
+                                                 ("c", 1.0, None, None, None), ("d", 2.0, None, None, None)}
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert agg.pivot(df.limit(0), ["k"], "x", {"all": None}, text="t", text_max={"t": has("hf")}).count() == 0
