@@ -341,3 +341,35 @@ def test_cells_are_added_up_once(s, monkeypatch):
     for trees, margins in boosting.boosted(columns, target, np.arange(150_000), s):
         assert sum(summed) == sum(1 + (tree.feature >= 0).sum() - (2 if s.max_depth == 2 and len(tree.feature) == 7 else 0) for tree in trees)
         summed.clear()
+
+
+@pytest.mark.parametrize("most", [explain.BITS, 2])
+@pytest.mark.parametrize("s", [boosting.Settings(0, n_estimators=6, max_depth=7),
+                               boosting.Settings(0, n_estimators=6, num_leaves=40, min_child_samples=5)])
+def test_contributions_by_branch_are_those_of_leaves(s, most):
+    """A branch is looked up as a whole; paths that test more features than a branch has bits are left to the leaves."""
+    rnd = np.random.default_rng(4)
+    codes = rnd.integers(0, 64, (3000, 9))
+    target = np.sin(codes[:, 0] / 9) + codes[:, 1] * codes[:, 2] / 900 + rnd.normal(size=3000) / 5
+    edges = [np.arange(63.0)] * 9
+    found = [row for n, trees in enumerate(boosting.fit_rows(codes, target, np.arange(3000), s))
+             for row in train._node_rows(n, trees, edges, 1.0)]
+    nodes = pa.table([pa.array(c) for c in zip(*found)], names=train.NODE_NAMES).cast(train.NODE_TYPES)
+    model = train.Model([f"f{k}" for k in range(9)], [0.0], nodes)
+    x = codes.astype(float)
+    x[::7, 1], x[::11, 0] = np.nan, np.inf
+    groups, (branches, deep) = explain.leaves_of(model)[0], explain.branches_of(model, most)[0]
+    assert max(len(b.bits) for b in branches) <= most and (most > 2) == (not deep)
+    assert sum(len(b.leaves) for b in branches) + sum(len(g.value) for g in deep) == sum(len(g.value) for g in groups)
+    assert most == 2 or 2 * len(branches) < sum(len(g.value) for g in groups)
+    got = explain.branch_contributions(branches, x).T + (explain.contributions(deep, x) if deep else 0.0)
+    assert np.allclose(got, explain.contributions(groups, x), atol=1e-12)
+
+
+def test_many_rows_are_explained_by_branch(spark, rows, classifier, monkeypatch):
+    """The same contributions by leaf (few rows in a block) and by branch."""
+    by_leaf = {r.key: r.contributions for r in explain.with_contributions(rows, classifier, ["key"]).collect()}
+    monkeypatch.setattr(explain, "BITS", 3)  # blocks of 8 rows are many
+    by_branch = {r.key: r.contributions for r in explain.with_contributions(rows, classifier, ["key"]).collect()}
+    assert by_branch.keys() == by_leaf.keys() and len(by_leaf) == 400
+    assert all(np.allclose(by_branch[k], by_leaf[k], atol=1e-12) for k in by_leaf)
