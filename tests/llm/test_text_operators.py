@@ -364,3 +364,16 @@ def test_pieces_in_use_are_learned_once(monkeypatch):
     assert [encode.encode([r])[0].tolist() for r in runs] == want
     assert max(Counter(learned).values()) == 1
     assert len(encode.known) + len(encode.older) < 20
+
+
+def test_pieces_are_looked_up_together(monkeypatch):
+    """Marks behind a word make no new piece, and what is known is found without a step of Python for each piece."""
+    encode = tokens.Encoder(public_tokenizers.path(tokens.TOKENIZER))
+    learned, real = [], encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda pieces: learned.extend(pieces) or real(pieces))
+    encode.encode([b"word other and more . , ;"])
+    del learned[:]
+    texts = [b"word. other, AND; more", b"Word, word. more; and"]
+    whole = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    assert [e.tolist() for e in encode.encode(texts)] == [whole.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    assert learned == []

@@ -17,6 +17,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,25 +30,67 @@ END_ID = 1
 SHARD_IDS = 1_000_000
 BLOCK_BITS = 512
 #: Texts are encoded in runs of about so many bytes.
-RUN_BYTES = 2 << 20
-#: Most bytes of pieces and ids in a dictionary of a worker, with what that takes for each. A full one is kept beside the
-#: next, which takes over what is met again, so pieces in use are not learned anew.
-REMEMBERED_BYTES, ENTRY_BYTES = 64 << 20, 170
+RUN_BYTES = 4 << 20
+#: Most bytes of pieces and ids in a memory of a worker. A full one is kept beside the next, which takes over what is met
+#: again, so pieces in use are not learned anew.
+REMEMBERED_BYTES = 32 << 20
+_PIECE = word_table(b" \n")
 #: Marks that may stand behind a word in a piece: ASCII without letters, digits and white space.
 _PIECE = word_table(b" \n")
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_SMALL, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_SMALL[97:123] = _MARK[list(MARKS)] = True
 SHARDS = ("part int, seq int, n_before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, bits int, "
           "planes array<binary>, ranks array<binary>, zeros array<bigint>")
 
 
+def _gather(flat: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return flat[np.repeat(first - before, lengths) + np.arange(int(lengths.sum()))]
+
+
+class _Memory:
+    """Pieces and their ids, looked up and added many at a time."""
+
+    def __init__(self):
+        self.pieces = pa.array([], pa.large_binary())
+        self.bounds, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def __len__(self) -> int:
+        return len(self.pieces)
+
+    @property
+    def held(self) -> int:
+        return self.pieces.nbytes + self.bounds.nbytes + self.ids.nbytes
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each piece, -1 for one that is not here."""
+        return np.array(pc.fill_null(pc.index_in(pieces, value_set=self.pieces), -1))
+
+    def add(self, pieces: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The places of new pieces."""
+        n = len(self)
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+        return np.arange(n, len(self))
+
+    def spans(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of pieces begin, and how many they are."""
+        first = self.bounds[places]
+        return first, self.bounds[places + 1] - first
+
+
 class Encoder:
     """Ids of whole texts by a tokenizer of the tokenizers library, as 32-bit numbers.
 
     The tokenizer splits at white space and lower-cases, so the ids of a text are those of its pieces between blanks and
     line breaks, one after the other. Only pieces that hold `<|`, with which added tokens begin, keep their capitals: added
-    tokens are looked for before lower-casing. Pieces of a run of texts are numbered, so each is looked up once, and ids are
-    remembered. A new piece of letters, with marks behind it, is put together from both; letters that no normalisation
-    changes go to the library's model at once, many at a time, all else through the whole tokenizer.
+    tokens are looked for before lower-casing. Marks behind a-z are a piece of their own. Pieces of a run of texts are
+    numbered, so each is looked up once, and ids are remembered. A new piece of other letters, with marks behind it, is put
+    together from both; letters that no normalisation changes go to the library's model at once, many at a time, all else
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -67,42 +110,20 @@ class Encoder:
         # a byte that prints stands for itself, the others for characters from 256 on, in order
         printed = {ord(c) for c in ByteLevel.alphabet() if ord(c) < 256}
         self.letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printed)}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, bytes] = {b"": b""}
-        self.older: dict[bytes, bytes] = {}
-        self.held = 0
-
-    def _turn(self) -> None:
-        """A full dictionary becomes the older one."""
-        older = self.known
-        self._forget()
-        self.older = older
-
-    def _recall(self, piece: bytes) -> bool:
-        ids = self.older.get(piece)
-        if ids is None:
-            return False
-        self._remember(piece, ids)
-        return True
-
-    def _remember(self, piece: bytes, ids: bytes) -> None:
-        self.known[piece] = ids
-        self.held += ENTRY_BYTES + len(piece) + len(ids)
+        self.known, self.older = _Memory(), _Memory()
 
     def _letters(self, stem: bytes) -> str | None:
         """A word of small letters as the model takes it; None if it is no such word."""
         text = stem.decode()
-        if stem.isalpha():
+        if stem.isalpha() and stem.islower():
             return text
         # letters up to U+024F are letters in every version of Unicode
         if text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
             return stem.decode("latin-1").translate(self.letters)
         return None
 
-    def _learn_words(self, words: dict[bytes, str]) -> list[bytes]:
-        """Remembers words of letters; gives back those for which the ends of words don't tell their ids apart."""
+    def _learn_words(self, words: dict[bytes, str], known: dict[bytes, bytes]) -> list[bytes]:
+        """Puts the ids of words of letters into `known`; gives back those that the ends of words don't tell apart."""
         stems, missed = list(words), []
         groups = [stems[k:k + 256] for k in range(0, len(stems), 256)]
         for group, e in zip(groups, self.plain.encode_batch_fast([" ".join([words[w] for w in g]) for g in groups], add_special_tokens=False)):
@@ -111,17 +132,18 @@ class Encoder:
             if len(cuts) == len(group) and cuts[-1] == len(ids):
                 raw, begin = ids.tobytes(), 0
                 for stem, cut in zip(group, (4 * cuts).tolist()):
-                    self._remember(stem, raw[begin:cut])
+                    known[stem] = raw[begin:cut]
                     begin = cut
             else:
                 missed += group
         return missed
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        known, words, other, parts = self.known, {}, set(), []
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as bytes."""
+        known, words, other, parts = {b"": b""}, {}, set(), []
         for piece in pieces:
             stem = piece.rstrip(MARKS)
-            if stem not in known and stem not in words and not self._recall(stem):
+            if stem not in known and stem not in words:
                 text = self._letters(stem)
                 if text is None:
                     other.add(piece)
@@ -130,14 +152,34 @@ class Encoder:
             if len(stem) < len(piece):
                 tail = piece[len(stem):]
                 parts.append((piece, stem, tail))
-                if tail not in known and not self._recall(tail):
-                    other.add(tail)
-        other.update(self._learn_words(words))
+                other.add(tail)
+        other.update(self._learn_words(words, known))
         single = list(other)
         for piece, e in zip(single, self.tokenizer.encode_batch_fast([p.decode() for p in single], add_special_tokens=False)):
-            self._remember(piece, np.array(e.ids, np.uint32).tobytes())
+            known[piece] = np.array(e.ids, np.uint32).tobytes()
         for piece, stem, tail in parts:
-            self._remember(piece, known[stem] + known[tail])
+            known[piece] = known[stem] + known[tail]
+        return [known[p] for p in pieces]
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where different pieces stand in the memory; new ones are learned."""
+        at = self.known.find(pieces)
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return at
+        if self.known.held > REMEMBERED_BYTES:
+            self.older, self.known = self.known, _Memory()
+            missing = np.arange(len(pieces))
+        wanted = pieces.take(pa.array(missing))
+        places = self.older.find(wanted)
+        old = places >= 0
+        first, lengths = self.older.spans(places[old])
+        at[missing[old]] = self.known.add(wanted.filter(pa.array(old)), lengths, _gather(self.older.ids, first, lengths))
+        new = wanted.filter(pa.array(~old))
+        found = self._learn(new.to_pylist())
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at[missing[~old]] = self.known.add(new, lengths, np.frombuffer(b"".join(found), np.uint32))
+        return at
 
     def encode_run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows of UTF-8 bytes, one after the other, and how many each row has."""
@@ -145,29 +187,19 @@ class Encoder:
         starts, ends, rows = words(data, offsets, _PIECE)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
-        inside = _PIECE[data]
         bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        packed, lowered = data[inside], lower_ascii(data[inside])
+        packed = data[_PIECE[data]]
+        lowered = lower_ascii(packed)
         marks = np.flatnonzero((packed[:-1] == 0x3C) & (packed[1:] == 0x7C))  # <|
         for w in np.unique(np.searchsorted(bounds, marks, "right") - 1).tolist():
             lowered[bounds[w]:bounds[w + 1]] = packed[bounds[w]:bounds[w + 1]]
-        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(lowered)]).dictionary_encode()
-        number, (_, cuts, raw) = column.indices.to_numpy(), column.dictionary.buffers()
-        cuts, raw = np.frombuffer(cuts, np.int64)[:len(column.dictionary) + 1].tolist(), raw.to_pybytes()
-        pieces = [raw[i:j] for i, j in zip(cuts, cuts[1:])]
-        new = [p for p in pieces if p not in self.known]
-        if new:
-            if self.held > REMEMBERED_BYTES:
-                self._turn()
-                new = [p for p in pieces if p]
-            self._learn([p for p in new if not self._recall(p)])
-        found = [self.known[p] for p in pieces]
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(lengths) - lengths
-        per_word = lengths[number]
-        before = np.cumsum(per_word) - per_word
-        ids = flat[np.repeat(first[number] - before, per_word) + np.arange(int(per_word.sum()))]
-        return ids, np.bincount(rows, per_word, n).astype(np.int64)
+        bounds, rows = _marks_apart(lowered, bounds, rows)
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(bounds), pa.py_buffer(lowered)]).dictionary_encode()
+        places = self._places(column.dictionary)
+        first, lengths = self.known.spans(places)
+        number = column.indices.to_numpy()
+        per_piece = lengths[number]
+        return _gather(self.known.ids, first[number], per_piece), np.bincount(rows, per_piece, n).astype(np.int64)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text in UTF-8."""
@@ -176,6 +208,20 @@ class Encoder:
         return np.split(ids, np.cumsum(counts)[:-1])
 
 
+def _marks_apart(data: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds and rows of pieces, where words of a-z with marks behind them are two."""
+    marked = np.flatnonzero(_MARK[data[bounds[1:] - 1]])
+    small, mark = (np.concatenate([[0], np.cumsum(t[data], dtype=np.int32)]) for t in (_SMALL, _MARK))
+    begin, end = bounds[marked], bounds[marked + 1]
+    letters = small[end] - small[begin]
+    cut = begin + letters
+    # as many letters as stand in front, marks alone behind
+    parted = (letters > 0) & (small[cut] - small[begin] == letters) & (mark[end] - mark[cut] == end - cut)
+    again = np.ones(len(rows), np.int64)
+    again[marked[parted]] = 2
+    return np.insert(bounds, marked[parted] + 1, cut[parted]), np.repeat(rows, again)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
