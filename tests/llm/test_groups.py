@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from wardlight.llm import graph, line_dedup, mixing, simhash
 
@@ -260,3 +261,23 @@ def test_line_links(spark):
         assert [k for k in range(len(texts)) if out[k].removed] == [2, *range(5, 34)]
         assert [out[k].group_doc for k in range(5)] == [0, 0, 0, 3, 4]
     assert line_dedup.dedup_lines(table).where("doc_id = 1").first().text == drift[2]
+
+
+def test_lines_meet_at_the_first_words_they_share(spark):
+    """Ten words need nine in common, so no pair has its first common word behind the second; NULL-free words sort as numbers."""
+    entries = spark.createDataFrame([(i, j) for i in range(3) for j in range(3)], "i int, j int").select("i", "j", *[
+        F.struct(F.lit(10).alias("n"), F.col(p).alias("pos"), F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high")).alias(s)
+        for s, p in (("a", "i"), ("b", "j"))])
+    assert sorted((r.i, r.j) for r in entries.where(line_dedup._likely("a", "b", 0.8)).collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    words = spark.range(1).select(F.array(F.lit(5).cast("long")).alias("words"), F.array(F.lit(0)).alias("ranks"))
+    assert not words.select(line_dedup._ordered(F.col("words"), F.col("ranks")).alias("o")).schema["o"].dataType.containsNull
+
+
+def test_line_links_of_long_lines(spark):
+    """Lines shorter and longer than what decides the parities' slots, on both sides of the similarity."""
+    texts = [" ".join([f"l{k}" for k in range(n)] + [f"x{n}-{c}-{j}" for j in range(c)]) for n in (50, 58, 64, 66, 120, 150) for c in (0, 1, 6, 13, 20)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [frozenset(t.split()) for t in texts]
+    want = [sum(10 * len(x & y) >= 8 * len(x | y) for y in sets) - 1 for x in sets]
+    out = {r.doc_id: r.links for r in line_dedup.line_groups(table).collect()}
+    assert [out[k] for k in range(len(texts))] == want and len(set(want)) > 3
