@@ -446,3 +446,20 @@ def test_a_grid_of_six_times_a_gigabyte_runs_in_tasks(spark, rows, monkeypatch):
     assert train.grid_scores(ready, s, few, 2, task_rows=10) == [
         (options, pytest.approx(score, rel=1e-12)) for options, score in train.grid_scores(ready, s, few, 2)]
     assert model.nodes.equals(train.fit_model(ready, boosting.Settings(0, n_estimators=2, num_leaves=5), FEATURES, task_rows=10).nodes)
+
+
+def test_stratified_parts_are_stored_once_and_folds_are_dealt_to_binned_rows(spark, rows, monkeypatch):
+    """Wide rows are put in order once for a split, and not at all for folds, which are the same as those of the rows themselves."""
+    placed, real = [], split.ranking.numbered_in
+    monkeypatch.setattr(split.ranking, "numbered_in", lambda df, *a, **k: placed.append(df.columns) or real(df, *a, **k))
+    kept, test = split.split(rows, "key", strata="label")
+    assert all("Window" not in part._jdf.queryExecution().optimizedPlan().toString() for part in (kept, test))
+    asked = []
+    monkeypatch.setattr(train, "grid_scores", lambda rows, s, grid, folds: asked.append(rows) or [({"n_estimators": 1}, 0.0)])
+    some = kept.withColumn("label", F.when(F.col("key") < "k0350", F.col("label")))  # rows without a label are left out
+    train.fit_classifier(some, FEATURES, "label", "key", grid={"n_estimators": [1]}, folds=3)
+    assert "codes" in placed[-1] and not set(FEATURES) & set(placed[-1])
+    want = {r.mark: r.fold for r in split.with_folds(some, "key", 3, strata="label").where("label is not null")
+            .select(F.xxhash64("key").alias("mark"), "fold").collect()}
+    got = {r.mark: r.fold for r in asked[0].table.select("mark", "fold").collect()}
+    assert got == want and len(got) > 200
